@@ -8,9 +8,10 @@ from eventmart.schemas import EVENT_COLUMNS, EVENT_SCHEMA, MART_COLUMNS, MART_SC
 
 
 def _typed(lines, schema, column, carry):
-    cells = lines.select(F.col(column).alias("_line"), F.split(F.col(column), ",").alias("_cells"), *carry)
+    # Exploding a one-element array keeps the optimizer from splitting the line once per cell.
+    cells = lines.select(*carry, F.explode(F.array(F.split(column, ","))).alias("_cells"))
     typed = cells.select(
-        "_line", *carry,
+        *carry, "_cells",
         *[F.get("_cells", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema)],
     )
     complete = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in schema.names])
@@ -19,7 +20,7 @@ def _typed(lines, schema, column, carry):
 
 def _parse(lines, schema, column, carry):
     typed, complete = _typed(lines, schema, column, carry)
-    message = F.concat(F.lit("malformed line: "), F.coalesce("_line", F.lit("null")))
+    message = F.concat(F.lit("malformed line: "), F.coalesce(F.array_join("_cells", ","), F.lit("null")))
     checked = typed.where(F.when(complete, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
     return checked.select(*carry, *schema.names)
 
@@ -27,7 +28,7 @@ def _parse(lines, schema, column, carry):
 def _quarantine(lines, schema, column, carry):
     typed, complete = _typed(lines, schema, column, carry)
     good = typed.where(complete).select(*carry, *schema.names)
-    rejects = typed.where(~complete).select(*carry, F.col("_line").alias(column))
+    rejects = typed.where(~complete).select(*carry, F.array_join("_cells", ",").alias(column))
     return good, rejects
 
 

@@ -1,8 +1,9 @@
 """Column statistics and correlation of the mart features."""
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from eventmart.schemas import FEATURES
 
@@ -45,24 +46,13 @@ def column_stats(feature_rows, columns=FEATURES):
 def correlation(feature_rows, columns=FEATURES):
     """Pearson correlation in long form, one row per ordered pair of features.
 
-    All pairs come from one aggregation pass. A constant feature gives NaN against others; the
-    diagonal is always 1.
+    A constant feature gives NaN against others; the diagonal is always 1. Only the matrix, as large
+    as the number of columns squared, comes to the driver.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    moments = feature_rows.agg(
-        *[F.covar_pop(a, b).alias(f"{a}|{b}") for a, b in pairs],
-        *[F.stddev_pop(c).alias(c) for c in columns],
-    )
-
-    def coefficient(a, b):
-        if a == b:
-            return F.lit(1.0)
-        name = f"{a}|{b}" if (a, b) in pairs else f"{b}|{a}"
-        spread = F.col(a) * F.col(b)
-        return F.when(spread > 0, F.col(f"`{name}`") / spread).otherwise(F.lit(float("nan")))
-
-    cells = F.array(*[
-        F.struct(F.lit(a).alias("feature_i"), F.lit(b).alias("feature_j"), coefficient(a, b).alias("corr"))
-        for a in columns for b in columns
-    ])
-    return moments.select(F.inline(cells))
+    vectors = with_vector(feature_rows, columns).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        matrix = Correlation.corr(vectors, "features", "pearson").first()[0].toArray()
+    finally:
+        vectors.unpersist()
+    rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return feature_rows.sparkSession.createDataFrame(rows, "feature_i string, feature_j string, corr double")

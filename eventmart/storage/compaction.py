@@ -4,24 +4,34 @@ from concurrent.futures import ThreadPoolExecutor
 
 from eventmart.storage.files import Files
 
+MAX_PENDING_FILES = 200
+
 
 class CompactingTable:
-    """`table/` holds published files, `pending/v=N` the rest after batch N.
+    """`table/` holds published files, `pending/` those that are still too small.
 
-    Each batch is written once in parallel; its large files are published as they are, its small
-    ones are joined with the pending ones into files of about `target_size`. What is still too
-    small stays pending. Table and pending of the last batch together hold every row once.
+    Each batch is written once, in parallel; its large files are published as they are. Small files
+    wait until together they make up a publishable file, or until there are too many of them, and
+    are then joined by one job. So a row is written twice at most, plus the remainders. The manifest
+    of a batch names the files pending after it; table and last manifest together hold every row once.
     """
 
     def __init__(self, spark, path, schema, min_size, target_size=None):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.min_size = min_size
         self.target_size = max(target_size or 0, min_size * 3 // 2, 1)
+        self.table, self._pending = f"{self.path}/table", f"{self.path}/pending"
         self._files = Files(spark, path)
-        self.table = f"{self.path}/table"
 
-    def pending_path(self, batch_id):
-        return f"{self.path}/pending/v={batch_id}"
+    def _manifest(self, batch_id):
+        return f"{self.path}/manifest/v={batch_id}"
+
+    def _started(self, batch_id):
+        return f"{self.path}/started/v={batch_id}"
+
+    def _names(self, batch_id):
+        manifest = self._manifest(batch_id)
+        return self._files.read_text(manifest).split() if self._files.exists(manifest) else []
 
     def _read(self, *paths):
         return self.spark.read.schema(self.schema).parquet(*paths)
@@ -29,43 +39,55 @@ class CompactingTable:
     def _sized(self, folder):
         return [(f"{folder}/{name}", size) for name, size in self._files.list(folder)]
 
-    def _publish(self, paths, batch_id, stage):
-        moves = [(p, f"{self.table}/part-{batch_id}-{stage}{i}.parquet") for i, p in enumerate(paths)]
+    def _move(self, paths, folder, batch_id, stage):
+        """Move files into a folder under names that only this batch uses; returns the names."""
+        names = [f"part-{batch_id}-{stage}{i}.parquet" for i in range(len(paths))]
         with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda move: self._files.rename(*move), moves))
-
-    def _clear(self, batch_id):
-        """Undo an earlier, possibly unfinished run of this batch."""
-        self._files.mkdirs(self.table)
-        for name, _ in self._files.list(self.table):
-            if name.startswith(f"part-{batch_id}-"):
-                self._files.delete(f"{self.table}/{name}")
-        self._files.delete(self.pending_path(batch_id))
+            list(pool.map(lambda p, n: self._files.rename(p, f"{folder}/{n}"), paths, names))
+        return names
+
+    def _begin(self, batch_id):
+        """Note the start of a batch; where it was started before, undo what it left."""
+        if self._files.exists(self._started(batch_id)):
+            for folder in (self.table, self._pending):
+                for name, _ in self._files.list(folder):
+                    if name.startswith(f"part-{batch_id}-"):
+                        self._files.delete(f"{folder}/{name}")
+            self._files.delete(self._manifest(batch_id))
+        for folder in (self.table, self._pending, self._started(batch_id)):
+            self._files.mkdirs(folder)
 
     def add(self, rows, batch_id):
-        """Take in a batch. Running a batch again gives the same table."""
-        self._clear(batch_id)
-        arrived = f"{self.path}/scratch/v={batch_id}/arrived"
-        joined = f"{self.path}/scratch/v={batch_id}/joined"
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(arrived)
-        written = self._sized(arrived)
-        large = [p for p, size in written if size >= self.min_size]
-        small = [(p, size) for p, size in written if size < self.min_size]
-        small += self._sized(self.pending_path(batch_id - 1))
-        self._files.mkdirs(self.pending_path(batch_id))
-        if small:
-            total = sum(size for _, size in small)
+        """Take in a batch. Running a batch again gives the same rows."""
+        self._begin(batch_id)
+        scratch = f"{self.path}/scratch/v={batch_id}"
+        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{scratch}/arrived")
+        arrived = self._sized(f"{scratch}/arrived")
+        large = [p for p, size in arrived if size >= self.min_size]
+        small = [p for p, size in arrived if size < self.min_size]
+        kept = self._names(batch_id - 1)
+
+        sizes = dict(arrived + self._sized(self._pending))
+        candidates = small + [f"{self._pending}/{name}" for name in kept]
+        total = sum(sizes[p] for p in candidates)
+        if total >= self.min_size or len(candidates) > MAX_PENDING_FILES:
             parts = max(1, total // self.target_size)
-            self._read(*[p for p, _ in small]).coalesce(parts).write.mode("overwrite").parquet(joined)
-            for path, size in self._sized(joined):
-                if size >= self.min_size:
-                    large.append(path)
-                else:
-                    name = path.rsplit("/", 1)[1]
-                    self._files.rename(path, f"{self.pending_path(batch_id)}/{name}")
-        self._publish(large, batch_id, "")
-        self._files.delete(f"{self.path}/scratch/v={batch_id}")
-        self._files.delete(self.pending_path(batch_id - 2))
+            self._read(*candidates).coalesce(parts).write.mode("overwrite").parquet(f"{scratch}/joined")
+            joined = self._sized(f"{scratch}/joined")
+            self._move([p for p, size in joined if size >= self.min_size], self.table, batch_id, "j")
+            small, kept = [p for p, size in joined if size < self.min_size], []
+
+        self._move(large, self.table, batch_id, "a")
+        kept = kept + self._move(small, self._pending, batch_id, "p")
+        self._files.write_text(self._manifest(batch_id), "\n".join(kept))
+        self._forget(batch_id - 2, batch_id - 1, scratch)
+
+    def _forget(self, old, previous, scratch):
+        """Remove what no replay can need: the files of an old manifest that the next one let go."""
+        for name in set(self._names(old)) - set(self._names(previous)):
+            self._files.delete(f"{self._pending}/{name}")
+        for path in (self._manifest(old), self._started(old), scratch):
+            self._files.delete(path)
 
     def published(self):
         """Rows of the published files."""
@@ -73,12 +95,13 @@ class CompactingTable:
 
     def pending(self, batch_id):
         """Rows still waiting after a batch."""
-        if not self._files.list(self.pending_path(batch_id)):
+        names = self._names(batch_id)
+        if not names:
             return self.spark.createDataFrame([], self.schema)
-        return self._read(self.pending_path(batch_id))
+        return self._read(*[f"{self._pending}/{name}" for name in names])
 
     def last_batch(self):
-        numbers = [int(n.split("=")[1]) for n, _ in self._files.list(f"{self.path}/pending")]
+        numbers = [int(name.split("=")[1]) for name, _ in self._files.list(f"{self.path}/manifest")]
         return max(numbers, default=None)
 
     def rows(self):

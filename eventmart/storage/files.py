@@ -30,3 +30,17 @@ class Files:
     def rename(self, source, target):
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not rename {source} to {target}")
+
+    def write_text(self, path, text):
+        out = self._fs.create(self._path(path), True)
+        try:
+            out.write(bytearray(text, "utf-8"))
+        finally:
+            out.close()
+
+    def read_text(self, path):
+        stream = self._fs.open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()

@@ -1,0 +1,172 @@
+import os
+import random
+import subprocess
+import sys
+
+import pytest
+from conftest import event, rows_of
+from pyspark import cloudpickle
+from pyspark.errors import PySparkException
+from pyspark.sql import types as T
+
+from eventmart.functions import csv_text, documents, hashing, instants, wide_rows
+from eventmart.operators import publish
+
+# Published results of the string hash.
+KNOWN_HASHES = {"hello": 99162322, "polygenelubricants": -2147483648, "42": 1662, "": 0}
+
+
+def test_hash_of_known_strings(spark):
+    df = spark.createDataFrame([(s,) for s in KNOWN_HASHES], "s string")
+    for expression in (hashing.java_string_hash("s"), hashing.java_string_hash_text("s")):
+        assert {r.s: r.h for r in df.select("s", expression.alias("h")).collect()} == KNOWN_HASHES
+    assert {s: hashing.hash_of(s) for s in KNOWN_HASHES} == KNOWN_HASHES
+
+
+def test_hash_variants_agree_on_any_text(spark):
+    rng = random.Random(1)
+    alphabet = "abc ,:09äßé漢字😀𝒳\n"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "s string")
+    rows = df.select("s", hashing.java_string_hash("s").alias("a"),
+                     hashing.java_string_hash_text("s").alias("b")).collect()
+    for row in rows:
+        if row.s is None:
+            assert row.a is None and row.b is None
+        else:
+            h = 0
+            encoded = row.s.encode("utf-16-be")
+            for i in range(0, len(encoded), 2):
+                h = (31 * h + int.from_bytes(encoded[i:i + 2], "big")) % 2**32
+            h = h - 2**32 if h >= 2**31 else h
+            assert row.a == row.b == hashing.hash_of(row.s) == h
+
+
+def test_event_csv_both_ways(spark, make_events):
+    events = make_events({}, {"account": "b", "purchase": 12.5, "kind": "buy"})
+    lines = events.select(csv_text.event_line().alias("value"))
+    assert lines.first().value == "a,x,1704067207179,1,logout,0.0,credit,s,1.0,2.0"
+    assert rows_of(csv_text.parse_events(lines)) == rows_of(events)
+
+
+GOOD = "8,9,1704067207179,0,lose,0.0,credit,8-2024-01-01,37.0,-122.008"
+NINE_CELLS = GOOD.rsplit(",", 1)[0]
+BAD_NUMBER = GOOD.replace(",0.0,", ",x,")
+
+
+def test_extra_cells_are_ignored(spark):
+    parsed = csv_text.parse_events(spark.createDataFrame([(GOOD + ",more,cells",)], "value string"))
+    assert rows_of(parsed) == [("8", "9", 1704067207179, "0", "lose", 0.0, "credit", "8-2024-01-01", 37.0, -122.008)]
+
+
+@pytest.mark.parametrize("line", [NINE_CELLS, BAD_NUMBER, "", None])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_line_fails_even_when_one_column_is_read(spark, line, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(line,)], "value string")
+        with pytest.raises(PySparkException, match="malformed line"):
+            csv_text.parse_events(df).select("account_id").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_quarantine_keeps_every_line(spark):
+    df = spark.createDataFrame([(l, i) for i, l in enumerate([GOOD, NINE_CELLS, BAD_NUMBER])], "value string, n int")
+    good, rejects = csv_text.parse_events_quarantine(df, carry=["n"])
+    assert [r.n for r in good.collect()] == [0]
+    assert rows_of(rejects) == sorted([(1, NINE_CELLS), (2, BAD_NUMBER)], key=repr)
+
+
+def test_a_line_is_split_once(spark):
+    plan = csv_text.parse_events(spark.createDataFrame([(GOOD,)], "value string"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_mart_csv_both_ways(spark, make_marts):
+    marts = make_marts(("a", "x", 1, 2, 3, 4.5, 1.0, 1, 2.0, 2, 1.5, 3))
+    lines = marts.select(csv_text.mart_line().alias("value"))
+    assert lines.first().value == "a,x,1,2,3,4.5,1.0,1,2.0,2,1.5,3"
+    assert rows_of(csv_text.parse_marts(lines)) == rows_of(marts)
+    bad = spark.createDataFrame([("a,x,1",)], "value string")
+    good, rejects = csv_text.parse_marts_quarantine(bad)
+    assert good.count() == 0 and rejects.count() == 1
+
+
+def test_salt_of_known_accounts(spark):
+    df = spark.createDataFrame([(s,) for s in KNOWN_HASHES], "s string")
+    salts = {r.s: r.salt for r in df.select("s", wide_rows.salt("s", 6).alias("salt")).collect()}
+    assert salts == {"hello": "0004", "polygenelubricants": "0002", "42": "0000", "": "0000"}
+    assert salts == {s: wide_rows.salt_of(s, 6) for s in salts}
+    with pytest.raises(ValueError):
+        wide_rows.salt("s", 10_001)
+
+
+def test_row_keys_pad_but_never_cut_timestamps(make_events):
+    events = make_events({"ts": 1704067207179}, {"ts": 5})
+    keys = [r.row_key for r in wide_rows.encode_events(events, 6).collect()]
+    salt = wide_rows.salt_of("a", 6)
+    assert keys == [f"{salt}:a:x:1704067207179:logout:1", f"{salt}:a:x:00000000005:logout:1"]
+    assert wide_rows.range_bound_of("a", "x", 5, 6) == f"{salt}:a:x:00000000005"
+
+
+def test_wide_rows_both_ways(make_events, make_marts):
+    events = make_events({}, {"kind": "buy", "purchase": 3.25, "ts": 5})
+    assert rows_of(wide_rows.decode_events(wide_rows.encode_events(events, 6))) == rows_of(events)
+    marts = make_marts(("a", "x", 1, 2, 3, 4.5, 1.0, 1, 2.0, 2, 1.5, 3))
+    encoded = wide_rows.encode_marts(marts, 6)
+    assert encoded.columns == ["row_key", "s", "w", "l", "pt", "pct", "pcc", "pdt", "pdc", "ppt", "ppc"]
+    assert rows_of(wide_rows.decode_marts(encoded)) == rows_of(marts)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_document_time_is_utc_in_every_session_zone(spark, make_events, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        doc = documents.event_documents(make_events({"kind": "buy", "event_id": "e"}, {"ts": -1})).collect()
+        assert doc[0].id == "buy:e" and doc[0].event_time_stamp == "2024-01-01T00:00:07Z"
+        assert doc[1].event_time_stamp == "1969-12-31T23:59:59Z"
+        parts = make_events({}).select(instants.utc_date("event_timestamp").cast("string"),
+                                       instants.utc_hour("event_timestamp")).first()
+        assert tuple(parts) == ("2024-01-01", 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_dynamic_fields(spark):
+    schema = T.StructType([
+        T.StructField("k", T.LongType()), T.StructField("s", T.StringType()), T.StructField("o", T.StringType()),
+        T.StructField("i", T.IntegerType()), T.StructField("f", T.FloatType()), T.StructField("b", T.BooleanType()),
+        T.StructField("d", T.DateType()), T.StructField("arr", T.ArrayType(T.StringType())),
+        T.StructField("short", T.ShortType()), T.StructField("named", T.ShortType()),
+    ])
+    rows = [(1, "a b", "ab", 1, 1.5, True, None, ["x"], 1, 2), (2, "ab", "a b", None, None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    docs = documents.dynamic_fields(df, "k", {"o": "_t", "arr": "_s", "named": "_i"})
+    assert docs.columns == ["id", "k_l", "s_s", "s_t", "o_t", "i_i", "f_f", "b_b", "d_tdt", "named_i"]
+    json = [r.json for r in documents.as_json(docs).collect()]
+    assert json[0] == '{"id":"1","k_l":1,"s_t":"a b","o_t":"ab","i_i":1,"f_f":1.5,"b_b":true,"named_i":2}'
+    assert json[1] == '{"id":"2","k_l":2,"s_s":"ab","o_t":"a b"}'
+
+
+def test_publish_filter_and_key(spark):
+    lines = ["vendor_name,and,more", "short", "0123456789", "😀😀😀😀😀", "😀😀😀😀", "123456789"]
+    records = publish.line_records(spark.createDataFrame([(l,) for l in lines], "value string"))
+    assert rows_of(records) == sorted([(str(hashing.hash_of(l)), l) for l in ["0123456789", "😀😀😀😀😀"]], key=repr)
+
+
+def test_event_records_and_producer_options(make_events):
+    record = publish.event_records(make_events({})).first()
+    assert record.key == "a" and record.value == ",".join(map(str, event()))
+    options = publish.producer_options("b:1", "t", acks=0, linger_ms=5, batch_size=10)
+    assert options == {"kafka.bootstrap.servers": "b:1", "topic": "t", "kafka.acks": "0", "kafka.retries": "3",
+                       "kafka.linger.ms": "5", "kafka.batch.size": "10"}
+
+
+def test_functions_run_where_the_package_is_missing(tmp_path):
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(hashing._hash_batch))
+    code = ("import pickle, pyarrow as pa; f = pickle.load(open('f.pkl', 'rb'));"
+            "print(f(pa.array(['hello', None])).to_pylist())")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert done.stdout.strip() == "[99162322, None]", done.stderr
