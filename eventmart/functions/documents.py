@@ -51,3 +51,8 @@ def dynamic_fields(df, id_column, overrides=None):
 def as_json(df, alias="json"):
     """Each row as one JSON object without its null fields."""
     return df.select(F.to_json(F.struct("*")).alias(alias))
+
+
+def ordered(documents, *columns):
+    """Documents sorted by fields, those without a value last."""
+    return documents.orderBy(*[F.col(c).asc_nulls_last() for c in columns])

@@ -5,6 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 MASK = 0xFFFFFFFF
+PIECE = 1 << 18  # code units hashed at a time, which bounds the memory of a batch
 
 
 def java_string_hash(column):
@@ -33,26 +34,65 @@ def java_string_hash(column):
 def hash_of(text):
     """The same hash of one Python string, for literals in lookups."""
     h = 0
-    units = np.frombuffer(text.encode("utf-16-le"), dtype="<u2")
-    for unit in units.tolist():
+    for unit in np.frombuffer(text.encode("utf-16-le"), dtype="<u2").tolist():
         h = (31 * h + unit) & MASK
     return h - (MASK + 1) if h > 0x7FFFFFFF else h
 
 
-def _hash_batch(texts: pa.Array) -> pa.Array:
-    values = texts.to_pylist()
-    encoded = [b"" if v is None else v.encode("utf-16-le") for v in values]
-    lengths = np.array([len(b) // 2 for b in encoded], dtype=np.int64)
+def _powers(n):
+    powers = np.full(n, 31, dtype=np.uint32)
+    powers[:1] = 1
+    return np.multiply.accumulate(powers, dtype=np.uint32)
+
+
+def _hash_piece(units, state, powers):
+    """Continue the hash `state` over one run of code units."""
+    n = len(units)
+    tail = np.sum(units.astype(np.uint32) * powers[:n][::-1], dtype=np.uint32)
+    return (state * int(powers[n]) + int(tail)) & MASK
+
+
+def _hash_group(units, lengths, powers):
+    """Hashes of several strings laid end to end.
+
+    Prefix sums wrap modulo 2^32, so the difference of two of them is the hash of one string.
+    """
     ends = np.cumsum(lengths)
-    units = np.frombuffer(b"".join(encoded), dtype="<u2").astype(np.uint32)
-    powers = np.full(int(lengths.max(initial=0)) + 1, 31, dtype=np.uint32)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers, dtype=np.uint32)
     exponent = np.repeat(ends, lengths) - 1 - np.arange(len(units))
-    # prefix sums wrap modulo 2^32, so the difference of two of them is the hash of one string
-    prefix = np.concatenate([[0], np.cumsum(units * powers[exponent], dtype=np.uint32)]).astype(np.uint32)
-    hashes = (prefix[ends] - prefix[ends - lengths]).view(np.int32)
-    return pa.array(hashes, type=pa.int32(), mask=np.array([v is None for v in values], dtype=bool))
+    sums = np.cumsum(units.astype(np.uint32) * powers[exponent], dtype=np.uint32)
+    prefix = np.concatenate([np.zeros(1, np.uint32), sums])
+    return prefix[ends] - prefix[ends - lengths]
+
+
+def _hash_batch(texts: pa.Array) -> pa.Array:
+    """Hashes of a batch, in groups of at most PIECE code units whatever the length of its texts."""
+    powers = _powers(PIECE + 1)
+    hashes = np.zeros(len(texts), dtype=np.uint32)
+    group, first, size = [], 0, 0
+
+    def close(upto):
+        nonlocal group, first, size
+        if group:
+            lengths = np.array([len(b) // 2 for b in group], dtype=np.int64)
+            hashes[first:upto] = _hash_group(np.frombuffer(b"".join(group), dtype="<u2"), lengths, powers)
+        group, first, size = [], upto, 0
+
+    for i, text in enumerate(texts):
+        encoded = (text.as_py() or "").encode("utf-16-le")
+        n = len(encoded) // 2
+        if size + n > PIECE:
+            close(i)
+        if n > PIECE:
+            units, state = np.frombuffer(encoded, dtype="<u2"), 0
+            for start in range(0, n, PIECE):
+                state = _hash_piece(units[start:start + PIECE], state, powers)
+            hashes[i] = state
+            first = i + 1
+        else:
+            group.append(encoded)
+            size += n
+    close(len(texts))
+    return pa.array(hashes.view(np.int32), type=pa.int32(), mask=np.asarray(texts.is_null()))
 
 
 def java_string_hash_text(column):

@@ -7,18 +7,20 @@ from pyspark.storagelevel import StorageLevel
 
 from eventmart.functions.hashing import java_string_hash
 from eventmart.functions.instants import utc_date, utc_hour
-from eventmart.operators.stats import with_vector
+from eventmart.operators.stats import column_stats, correlation, features, with_vector
 from eventmart.schemas import CREDIT, FEATURES, WIN
 
 LABEL_FEATURES = ["purchase", "payment_credit", "event_timestamp", "day_of_week", "hour_of_day", "app_hash"]
 
 
 def fit_kmeans(feature_rows, k, iterations, seed=1, columns=FEATURES):
-    """Train k-means on the feature columns."""
+    """Train k-means on the feature columns; the cluster sizes are counted along with it."""
     vectors = with_vector(feature_rows, columns).select("features")
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return KMeans(k=k, maxIter=iterations, seed=seed).fit(vectors)
+        model = KMeans(k=k, maxIter=iterations, seed=seed).fit(vectors)
+        model.summary.clusterSizes  # computed now, while the vectors are at hand, and kept by the model
+        return model
     finally:
         vectors.unpersist()
 
@@ -70,7 +72,11 @@ def random_split(rows, train_share=0.7, seed=1):
 def fit_event_tree(train):
     """Two-class decision tree: gini impurity, depth 5, 32 bins."""
     vectors = with_vector(train, LABEL_FEATURES).select("label", "features")
-    return DecisionTreeClassifier(impurity="gini", maxDepth=5, maxBins=32).fit(vectors)
+    vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return DecisionTreeClassifier(impurity="gini", maxDepth=5, maxBins=32).fit(vectors)
+    finally:
+        vectors.unpersist()
 
 
 def predict_events(model, rows):
@@ -95,3 +101,18 @@ def stratified_sample_by_id(rows, column, fractions, id_column="event_id"):
     for value, fraction in fractions.items():
         share = F.when(F.col(column) == value, F.lit(round(fraction * 10_000))).otherwise(share)
     return rows.where(bucket_of(id_column) < share)
+
+
+def report(spark, marts, k, iterations, seed=1):
+    """Cluster centers, correlations and column statistics of the marts, from one cached feature table."""
+    rows = features(marts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        centers = kmeans_centers(spark, fit_kmeans(rows, k, iterations, seed))
+        correlations = correlation(rows)
+        summary = column_stats(rows).collect()  # one row per feature
+        return {
+            "centers": centers, "correlation": correlations,
+            "column_stats": spark.createDataFrame(summary, column_stats(rows).schema),
+        }
+    finally:
+        rows.unpersist()

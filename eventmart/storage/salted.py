@@ -21,16 +21,16 @@ def salt_region_counts(rows, num_salts, regions):
     return with_salt(rows, num_salts, regions).groupBy("salt", "region").agg(F.count("*").alias("rows"))
 
 
-def write_salted(rows, path, num_salts, regions, unique=False, mode="overwrite"):
+def write_salted(rows, path, num_salts, regions, order=(), unique=False, mode="overwrite"):
     """Write row keys and cells sorted by key under one folder per salt.
 
-    As in any keyed store a key keeps one row: copies are folded first, unless `unique` says there
-    are none. Range partitioning then spreads even a hot account, since its keys differ in time and
+    As in any keyed store a key keeps one row, the last by the `order` columns: copies are folded
+    first, unless `unique` says there are none. Range partitioning then spreads even a hot account, since its keys differ in time and
     id. Snappy, with a bloom filter on the key.
     """
     if not unique:
-        rows = latest_per_key(rows, ["row_key"], [])
-    salted = with_salt(rows, num_salts, regions)
+        rows = latest_per_key(rows, ["row_key"], list(order))
+    salted = with_salt(rows.drop(*order), num_salts, regions)
     ordered = salted.repartitionByRange("salt", "row_key").sortWithinPartitions("salt", "row_key")
     (ordered.write.mode(mode).partitionBy("salt")
         .option("compression", "snappy")

@@ -4,6 +4,8 @@ Layout: `log/batch_id=N` holds one batch, `base/upto=N` all batches up to N fold
 replayed batch overwrites its own folder, so replays change nothing.
 """
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,7 +84,9 @@ class KeyedTable:
         base = self.spark.read.schema(self.schema).parquet(self._base(base_number))
         if log is None:
             return base
-        return base.join(log.select(*self.key), self.key, "left_anti").select(*names).unionByName(log)
+        newer = log.select(*[F.col(k).alias(f"_{k}") for k in self.key])
+        same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.key])
+        return base.join(newer, same_key, "left_anti").unionByName(log)
 
     def compact(self, upto=None):
         """Fold the log up to a batch (default: all) into a new base.

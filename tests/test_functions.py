@@ -3,6 +3,7 @@ import random
 import subprocess
 import sys
 
+import pyarrow as pa
 import pytest
 from conftest import event, rows_of
 from pyspark import cloudpickle
@@ -42,6 +43,15 @@ def test_hash_variants_agree_on_any_text(spark):
             assert row.a == row.b == hashing.hash_of(row.s) == h
 
 
+@pytest.mark.parametrize("piece", [1, 3, 7, 1000])
+def test_long_texts_are_hashed_piecewise(monkeypatch, piece):
+    monkeypatch.setattr(hashing, "PIECE", piece)
+    texts = ["", "a", "abcdefgh", None, "😀" * 9, "xyz", "", "long text " * 30, "end"]
+    expected = [None if t is None else hashing.hash_of(t) for t in texts]
+    assert hashing._hash_batch(pa.array(texts)).to_pylist() == expected
+    assert hashing._hash_batch(pa.array([], pa.string())).to_pylist() == []
+
+
 def test_event_csv_both_ways(spark, make_events):
     events = make_events({}, {"account": "b", "purchase": 12.5, "kind": "buy"})
     lines = events.select(csv_text.event_line().alias("value"))
