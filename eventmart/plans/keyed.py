@@ -9,7 +9,9 @@ from eventmart.operators.mart import account_mart
 from eventmart.plans import oracle
 from eventmart.plans.batch import EVENT_CELLS_SQL, NUM_SALTS, REGIONS, cents, rounded_marts
 from eventmart.plans.registry import query
-from eventmart.schemas import BUY, EVENT_COLUMNS, EVENT_KEY, EVENT_SCHEMA, EVENT_WIDE_SCHEMA, MART_SCHEMA
+from eventmart.schemas import (
+    BUY, CREDIT, EVENT_COLUMNS, EVENT_KEY, EVENT_SCHEMA, EVENT_WIDE_SCHEMA, MART_KEY, MART_SCHEMA, PAYPAL,
+)
 from eventmart.session import work_dir
 from eventmart.sources.adapter import app_events
 from eventmart.storage.compaction import CompactingTable
@@ -32,13 +34,13 @@ def event_upsert_latest(spark, sf_dir):
 
 @query("mart_upsert_latest", oracle.with_marts("SELECT * FROM mart"))
 def mart_upsert_latest(spark, sf_dir):
-    """Totals of the credit events alone, folded into a base, then the totals of all events."""
-    table = KeyedTable(
-        spark, work_dir(spark, "mart-upsert"), MART_SCHEMA, ["account_id", "app_id"], one_row_per_batch=True)
+    """Totals that grow from batch to batch; the first two are folded before the last arrives."""
+    table = KeyedTable(spark, work_dir(spark, "mart-upsert"), MART_SCHEMA, MART_KEY, one_row_per_batch=True)
     events = app_events(spark, sf_dir)
-    table.write(account_mart(events.where(F.col("payment_type") == "credit")), 0)
+    table.write(account_mart(events.where(F.col("payment_type") == CREDIT)), 0)
+    table.write(account_mart(events.where(F.col("payment_type") != PAYPAL)), 1)
     table.compact()
-    table.write(account_mart(events), 1)
+    table.write(account_mart(events), 2)
     return cents(table.latest())
 
 

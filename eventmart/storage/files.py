@@ -21,6 +21,10 @@ class Files:
         found = [(s.getPath().getName(), s.getLen()) for s in self._fs.listStatus(self._path(path))]
         return sorted((n, size) for n, size in found if not n.startswith(("_", ".")))
 
+    def size(self, path):
+        """Bytes of all files below a folder."""
+        return self._fs.getContentSummary(self._path(path)).getLength()
+
     def delete(self, path):
         self._fs.delete(self._path(path), True)
 

@@ -1,7 +1,9 @@
 """Keyed tables on plain files: every batch is a version, readers see the last version of a key.
 
-Layout: `log/batch_id=N` holds one batch, `base/upto=N` all batches up to N folded together. A
-replayed batch overwrites its own folder, so replays change nothing.
+A batch is one run, `runs/first=N/upto=N`; a replayed batch overwrites its own run, so replays change
+nothing. Compaction folds neighbouring runs of like size into one, `runs/first=M/upto=N`. Sizes of the
+remaining runs grow geometrically: a row is rewritten a logarithmic number of times, and the large
+old run stays untouched until the newer ones weigh as much.
 """
 
 from functools import reduce
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 from eventmart.storage.files import Files
 
 FIXED_WIDTH = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType, T.BooleanType)
+FOLD_RATIO = 2
 
 
 def latest_per_key(rows, key, order, one_row_per_order=False):
@@ -39,74 +42,86 @@ class KeyedTable:
         self.one_row_per_batch = one_row_per_batch
         self._files = Files(spark, path)
 
-    def _log(self, batch_id=None):
-        return f"{self.path}/log" + ("" if batch_id is None else f"/batch_id={batch_id}")
+    def _run(self, first, upto):
+        return f"{self.path}/runs/first={first}/upto={upto}"
 
-    def _base(self, upto=None):
-        return f"{self.path}/base" + ("" if upto is None else f"/upto={upto}")
+    def _numbers(self, folder):
+        return [int(name.split("=")[1]) for name, _ in self._files.list(folder)]
+
+    def _all_runs(self):
+        """(first, upto) of every finished run."""
+        root = f"{self.path}/runs"
+        found = [(a, b) for a in self._numbers(root) for b in self._numbers(f"{root}/first={a}")]
+        return [run for run in found if self._files.exists(f"{self._run(*run)}/_SUCCESS")]
+
+    def _runs(self):
+        """The runs that make up the table, oldest first: those inside no wider run."""
+        chosen, before = [], float("inf")
+        for first, upto in sorted(self._all_runs(), key=lambda run: (-run[1], run[0])):
+            if upto < before:
+                chosen.append((first, upto))
+                before = first
+        return chosen[::-1]
 
     def write(self, rows, batch_id):
-        """Store a batch. Writing the same batch again replaces it."""
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(self._log(batch_id))
-
-    def _bases(self):
-        numbers = [int(n.split("=")[1]) for n, _ in self._files.list(self._base())]
-        return sorted(n for n in numbers if self._files.exists(f"{self._base(n)}/_SUCCESS"))
-
-    def _batches(self):
-        return sorted(int(n.split("=")[1]) for n, _ in self._files.list(self._log()))
-
-    def _read_log(self, after, upto=None):
-        wanted = [b for b in self._batches() if b > after and (upto is None or b <= upto)]
-        if not wanted:
-            return None
-        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        rows = self.spark.read.schema(schema).parquet(self._log())
-        return rows.where((F.col("batch_id") >= wanted[0]) & (F.col("batch_id") <= wanted[-1]))
-
-    def latest(self, upto=None):
-        """The last version of every key.
-
-        The base has one row per key, so only the log is aggregated; base rows overtaken by the log
-        are removed by an anti join, for which Spark needs no shuffle of the base while the log's
-        keys are small.
+        """Store a batch. Writing the same batch again replaces it. A key without a value is an error."""
+        complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key])
+        no_value = F.raise_error(F.lit(f"null in key {self.key}")).cast("boolean")
+        checked = rows.select(*self.schema.names).where(F.when(complete, F.lit(True)).otherwise(no_value))
+        checked.write.mode("overwrite").parquet(self._run(batch_id, batch_id))
+
+    def _read(self, runs):
+        schema = T.StructType([*self.schema.fields, T.StructField("upto", T.LongType())])
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/runs")
+        return reader.parquet(*[self._run(*run) for run in runs])
+
+    def _fold(self, runs):
+        """The last version of every key of these runs.
+
+        A folded run has one row per key. So if the oldest one is folded, only the others are
+        aggregated, and its overtaken rows are removed by an anti join, for which Spark does not
+        shuffle the old run while the keys of the others are few.
         """
-        bases = [b for b in self._bases() if upto is None or b <= upto]
-        base_number = bases[-1] if bases else -1
-        log = self._read_log(base_number, upto)
         names = self.schema.names
-        if log is not None:
-            log = latest_per_key(
-                log, self.key, ["batch_id", *self.order], self.one_row_per_batch and not self.order
-            ).select(*names)
-        if not bases:
-            return log if log is not None else self.spark.createDataFrame([], self.schema)
-        base = self.spark.read.schema(self.schema).parquet(self._base(base_number))
-        if log is None:
-            return base
-        newer = log.select(*[F.col(k).alias(f"_{k}") for k in self.key])
-        same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.key])
-        return base.join(newer, same_key, "left_anti").unionByName(log)
+        if not runs:
+            return self.spark.createDataFrame([], self.schema)
+        folded = runs[0][0] < runs[0][1]
+        newer = runs[1:] if folded else runs
+        if newer:
+            ranking = ["upto", *self.order]
+            unique = self.one_row_per_batch and not self.order
+            newest = latest_per_key(self._read(newer), self.key, ranking, unique).select(*names)
+        if not folded:
+            return newest
+        old = self._read(runs[:1]).select(*names)
+        if not newer:
+            return old
+        return old.join(newest.select(*self.key), self.key, "left_anti").select(*names).unionByName(newest)
+
+    def latest(self):
+        """The last version of every key."""
+        return self._fold(self._runs())
 
     def compact(self, upto=None):
-        """Fold the log up to a batch (default: all) into a new base.
+        """Fold the newest runs up to a batch (default: all), as far back as the sizes suggest.
 
-        What the previous base was made of is removed, one generation late, so readers that
-        started before keep their files.
+        A run is taken in while it is at most FOLD_RATIO times all newer ones together. Runs replaced by the
+        compaction before are removed now, so readers that started earlier keep their files.
         """
-        batches = self._batches()
-        if not batches:
-            return
-        upto = batches[-1] if upto is None else upto
-        previous = self._bases()[-1:]
-        if previous and previous[0] >= upto:
-            return
-        folded = self.latest(upto).sortWithinPartitions(*self.key)  # narrow min/max per row group
-        folded.write.mode("overwrite").parquet(self._base(upto))
-        for number in previous:
-            for batch in batches:
-                if batch <= number:
-                    self._files.delete(self._log(batch))
-            for base in self._bases():
-                if base < number:
-                    self._files.delete(self._base(base))
+        runs = self._runs()
+        for first, upto in set(self._all_runs()) - set(runs):
+            self._files.delete(self._run(first, upto))
+            if not self._numbers(f"{self.path}/runs/first={first}"):
+                self._files.delete(f"{self.path}/runs/first={first}")
+        candidates = [run for run in runs if upto is None or run[1] <= upto][::-1]
+        taken, total = [], 0
+        for run in candidates:
+            size = self._files.size(self._run(*run))
+            if taken and size > FOLD_RATIO * total:
+                break
+            taken.append(run)
+            total += size
+        if len(taken) > 1:
+            target = self._run(taken[-1][0], taken[0][1])
+            folded = self._fold(taken[::-1]).sortWithinPartitions(*self.key)  # narrow min/max per row group
+            folded.write.mode("overwrite").parquet(target)

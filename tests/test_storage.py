@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 from conftest import rows_of
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,24 +39,56 @@ def test_newest_version_of_a_key_wins(spark, folder, make_events):
     assert sorted((r.event_id, r.purchase) for r in table.latest().collect()) == [("1", 1.0), ("2", 0.0)]
 
 
+def mart_row(key, n):
+    return (key, "x", n, n, n, float(n), 0.0, 0, 0.0, 0, 0.0, 0)
+
+
 @pytest.mark.parametrize("one_row_per_batch", [False, True])
 def test_compaction_changes_no_row(spark, folder, make_marts, one_row_per_batch):
-    def mart(key, n):
-        return (key, "x", n, n, n, float(n), 0.0, 0, 0.0, 0, 0.0, 0)
     table = KeyedTable(spark, f"{folder}/m", MART_SCHEMA, MART_KEY, one_row_per_batch=one_row_per_batch)
     expected = {}
     for batch in range(7):
         keys = ["abc"[batch % 3], "d"]
-        table.write(make_marts(*[mart(k, batch) for k in keys]), batch)
+        table.write(make_marts(*[mart_row(k, batch) for k in keys]), batch)
         expected.update({k: batch for k in keys})
         if batch in (2, 4):
             table.compact(batch - 1)
         assert {r.account_id: r.win_count for r in table.latest().collect()} == expected
+    table.write(make_marts(*[mart_row(k, 6) for k in keys]), 6)  # replay of the last batch
     table.compact()
+    assert {r.account_id: r.win_count for r in table.latest().collect()} == expected
+    assert table._runs()[-1][1] == 6 and len(table._runs()) < 4
     table.compact()
     assert {r.account_id: r.win_count for r in table.latest().collect()} == expected
-    assert sorted(os.listdir(f"{folder}/m/base")) == ["upto=3", "upto=6"]
-    assert "batch_id=3" not in os.listdir(f"{folder}/m/log")
+    assert set(table._all_runs()) == set(table._runs())
+
+
+def test_compaction_leaves_a_large_old_run_alone(spark, folder, make_marts):
+    table = KeyedTable(spark, f"{folder}/m", MART_SCHEMA, MART_KEY, one_row_per_batch=True)
+    table.write(make_marts(*[mart_row(f"k{i}", i) for i in range(5000)]), 0)
+    table.write(make_marts(*[mart_row(f"k{i}", i) for i in range(5000, 10000)]), 1)
+    table.compact()
+    assert table._runs() == [(0, 1)]
+    for batch in range(2, 6):
+        table.write(make_marts(mart_row("k1", 100 + batch)), batch)
+    table.compact()
+    assert table._runs() == [(0, 1), (2, 5)]
+    latest = table.latest()
+    assert latest.count() == 10000 and latest.where("account_id = 'k1'").first().win_count == 105
+
+
+def test_unfinished_run_is_not_read(spark, folder, make_marts):
+    table = KeyedTable(spark, f"{folder}/m", MART_SCHEMA, MART_KEY)
+    table.write(make_marts(mart_row("a", 1)), 0)
+    table.write(make_marts(mart_row("a", 2)), 1)
+    os.remove(f"{folder}/m/runs/first=1/upto=1/_SUCCESS")
+    assert [r.win_count for r in table.latest().collect()] == [1]
+
+
+def test_null_key_is_an_error(spark, folder, make_marts):
+    table = KeyedTable(spark, f"{folder}/m", MART_SCHEMA, MART_KEY)
+    with pytest.raises(PySparkException, match="null in key"):
+        table.write(make_marts(mart_row(None, 1)), 0)
 
 
 def test_order_inside_a_batch(spark, folder, make_events):
@@ -78,9 +111,10 @@ def test_copies_of_a_hot_key_shrink_before_the_shuffle(spark, make_events):
 
 def test_small_log_leaves_the_base_unshuffled(spark, folder, make_events):
     table = event_table(spark, folder)
-    table.write(make_events(*[{"event_id": str(i)} for i in range(50)]), 0)
+    table.write(make_events(*[{"event_id": str(i)} for i in range(25)]), 0)
+    table.write(make_events(*[{"event_id": str(i)} for i in range(25, 50)]), 1)
     table.compact()
-    table.write(make_events({"purchase": 2.0}), 1)
+    table.write(make_events({"purchase": 2.0}), 2)
     latest = table.latest()
     latest.collect()
     assert "BroadcastHashJoin" in plan_of(latest) and latest.count() == 50
@@ -89,9 +123,13 @@ def test_small_log_leaves_the_base_unshuffled(spark, folder, make_events):
 def test_lookup_filter_reaches_the_files(spark, folder, make_events):
     table = event_table(spark, folder)
     table.write(make_events({}, {"account": "b"}), 0)
+    table.write(make_events({"event_id": "9"}), 1)
+    table.compact()
+    table.write(make_events({"account": "b"}), 2)
     found = lookups.events_of_account(table.latest(), "b")
     assert found.count() == 1
-    assert "EqualTo(account_id,b)" in plan_of(found)
+    plan = plan_of(found)  # both runs are pruned, for the anti join as well
+    assert plan.count("EqualTo(account_id,b)") >= 3 and plan.count("FileScan") == plan.count("EqualTo(account_id,b)")
 
 
 # --- salted tables ---------------------------------------------------------------------------------
