@@ -37,12 +37,11 @@ def _with_salt(rows, account_id, num_salts):
 
 def event_rows_in_range(rows, account_id, app_id, num_salts, start=None, end=None):
     """Wide event rows of an account and app with time in [start, end), in row-key order."""
-    key, prefix = F.col("row_key"), mart_key_of(account_id, app_id, num_salts) + ":"
-    low = prefix if start is None else range_bound_of(account_id, app_id, start, num_salts)
-    found = _with_salt(rows, account_id, num_salts).where(key.startswith(prefix) & (key >= low))
-    if end is not None:
-        found = found.where(key < range_bound_of(account_id, app_id, end, num_salts))
-    return found.orderBy("row_key")
+    key, stem = F.col("row_key"), mart_key_of(account_id, app_id, num_salts)
+    # `;` follows the separator `:`, so it bounds all keys of the account and app
+    low = f"{stem}:" if start is None else range_bound_of(account_id, app_id, start, num_salts)
+    high = f"{stem};" if end is None else range_bound_of(account_id, app_id, end, num_salts)
+    return _with_salt(rows, account_id, num_salts).where((key >= low) & (key < high)).orderBy("row_key")
 
 
 def events_in_range(rows, account_id, app_id, num_salts, start=None, end=None):

@@ -6,7 +6,12 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State outside the JVM heap; a commit uploads the changes, not a snapshot.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app_name="eventmart", master=None, **conf):
@@ -17,7 +22,7 @@ def build_session(app_name="eventmart", master=None, **conf):
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.parquet.compression.codec": "snappy",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        **STATE_STORE,
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app_name)
@@ -43,12 +48,10 @@ def work_dir(spark, name):
 
 
 @contextmanager
-def session_conf(spark, **settings):
-    """Set session options (dots written as `__`) for the block and restore them afterwards."""
-    before = {}
-    for name, value in settings.items():
-        key = name.replace("__", ".")
-        before[key] = spark.conf.get(key, None)
+def session_conf(spark, settings):
+    """Set session options for the block and restore them afterwards."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         yield

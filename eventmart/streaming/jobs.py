@@ -14,12 +14,13 @@ from eventmart.schemas import (
     DOCUMENT_SCHEMA, EVENT_COLUMNS, EVENT_KEY, EVENT_SCHEMA, EVENT_WIDE_SCHEMA, MART_KEY, MART_SCHEMA,
     MART_WIDE_SCHEMA,
 )
-from eventmart.session import ROCKSDB_PROVIDER, session_conf
+from eventmart.session import STATE_STORE, session_conf
 from eventmart.sources.streams import event_stream
 from eventmart.storage.compaction import CompactingTable
 from eventmart.storage.documents import index_documents
 from eventmart.storage.upsert import KeyedTable
 
+PARTITIONS = "spark.sql.shuffle.partitions"
 OFFSET = T.StructField("offset", T.LongType())
 
 
@@ -59,10 +60,18 @@ def _into(table, compact_every):
 
 
 def _start(rows, sink, checkpoint, seconds, mode):
-    """`seconds` None works off what is there and stops; otherwise the interval between batches."""
+    """`seconds` None works off what is there and stops; otherwise the interval between batches.
+
+    A new query keeps its number of state partitions for good: the session's shuffle partitions where
+    they are set, otherwise one per core.
+    """
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
-    with session_conf(rows.sparkSession, spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER):
+    spark = rows.sparkSession
+    settings = dict(STATE_STORE)
+    if spark.conf.get(PARTITIONS, None) is None:
+        settings[PARTITIONS] = str(spark.sparkContext.defaultParallelism)
+    with session_conf(spark, settings):
         return writer.foreachBatch(sink).trigger(**trigger).start()
 
 

@@ -300,6 +300,6 @@ def test_retry_only_after_a_broken_connection():
 def test_session_helpers(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert work_dir(spark, "x").startswith(root) and work_dir(spark, "x") != work_dir(spark, "x")
-    with session_conf(spark, spark__sql__shuffle__partitions="3", spark__some__option="1"):
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "3", "spark.some.option": "1"}):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4" and spark.conf.get("spark.some.option", None) is None
