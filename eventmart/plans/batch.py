@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from eventmart.functions.csv_text import event_line, mart_line, parse_events, parse_marts
+from eventmart.functions.csv_text import (
+    event_line, mart_line, parse_events, parse_events_quarantine, parse_marts,
+)
 from eventmart.functions.documents import as_json, dynamic_fields, event_documents
 from eventmart.functions.hashing import java_string_hash_text
 from eventmart.functions.wide_rows import (
@@ -105,9 +107,12 @@ def mart_csv_roundtrip(spark, sf_dir):
     return parse_marts(rounded_marts(spark, sf_dir).select(mart_line().alias("value")))
 
 
-@query("event_publish_records", oracle.with_events("""
-    SELECT account_id AS key, concat_ws(',', account_id, app_id, event_timestamp, event_id, event_type,
-      purchase, payment_type, session_id, latitude, longitude) AS value FROM app_event"""))
+EVENT_LINE_SQL = """concat_ws(',', account_id, app_id, event_timestamp, event_id, event_type,
+  purchase, payment_type, session_id, latitude, longitude)"""
+
+
+@query("event_publish_records", oracle.with_events(
+    f"SELECT account_id AS key, {EVENT_LINE_SQL} AS value FROM app_event"))
 def event_publish_records(spark, sf_dir):
     return publish.event_records(app_events(spark, sf_dir))
 
@@ -123,6 +128,20 @@ def line_publish_records(spark, sf_dir):
     return publish.line_records(document_lines(spark, sf_dir))
 
 
+@query("event_csv_quarantine", oracle.with_events(f"""
+    SELECT line AS value, CASE WHEN len(cells) >= 10 AND TRY_CAST(cells[3] AS BIGINT) IS NOT NULL
+        AND TRY_CAST(cells[6] AS DOUBLE) IS NOT NULL AND TRY_CAST(cells[9] AS DOUBLE) IS NOT NULL
+        AND TRY_CAST(cells[10] AS DOUBLE) IS NOT NULL THEN 'event' ELSE 'reject' END AS outcome
+    FROM (SELECT line, string_split(line, ',') AS cells
+          FROM (SELECT {EVENT_LINE_SQL} AS line FROM app_event UNION ALL SELECT line FROM lines))""", LINES))
+def event_csv_quarantine(spark, sf_dir):
+    """Event lines mixed with the lines of all documents, told apart again."""
+    lines = app_events(spark, sf_dir).select(event_line().alias("value"))
+    good, rejects = parse_events_quarantine(lines.unionByName(document_lines(spark, sf_dir)))
+    accepted = good.select(event_line().alias("value"), F.lit("event").alias("outcome"))
+    return accepted.unionByName(rejects.withColumn("outcome", F.lit("reject")))
+
+
 @query("java_string_hash", f"SELECT doc_id, {oracle.hash_sql('text')} AS hash FROM documents")
 def java_string_hash_query(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")

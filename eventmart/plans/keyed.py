@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.wide_rows import encode_events
 from eventmart.operators.mart import account_mart
+from eventmart.operators.sums import wins_per_account
 from eventmart.plans import oracle
-from eventmart.plans.batch import EVENT_CELLS_SQL, NUM_SALTS, REGIONS, cents, rounded_marts
+from eventmart.plans.batch import EVENT_CELLS_SQL, NUM_SALTS, REGIONS, WINS, cents, rounded_marts
 from eventmart.plans.registry import query
 from eventmart.schemas import (
     BUY, CREDIT, EVENT_COLUMNS, EVENT_KEY, EVENT_SCHEMA, EVENT_WIDE_SCHEMA, MART_KEY, MART_SCHEMA, PAYPAL,
@@ -15,7 +16,7 @@ from eventmart.schemas import (
 from eventmart.session import work_dir
 from eventmart.sources.adapter import app_events
 from eventmart.storage.compaction import CompactingTable
-from eventmart.storage.layouts import copy_table
+from eventmart.storage.layouts import copy_table, scan_unbucketed, write_keyed
 from eventmart.storage.salted import read_salted, write_salted
 from eventmart.storage.upsert import KeyedTable
 
@@ -60,6 +61,14 @@ def mart_table_copy(spark, sf_dir):
     return copy_table(spark, f"{name}_source", name, work_dir(spark, "mart-copy"))
 
 
+@query("keyed_table_wins", oracle.with_marts(WINS))
+def keyed_table_wins(spark, sf_dir):
+    """Marts hashed into buckets by account, then summed per account."""
+    name = f"account_mart_{uuid.uuid4().hex}"
+    write_keyed(rounded_marts(spark, sf_dir), name, path=work_dir(spark, "mart-keyed"))
+    return wins_per_account(scan_unbucketed(spark, name))
+
+
 @query("compaction_conservation", oracle.with_events("SELECT * FROM app_event UNION ALL SELECT * FROM app_event"))
 def compaction_conservation(spark, sf_dir):
     """Two batches through the compacting sink; published and pending rows together."""
