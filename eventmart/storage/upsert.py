@@ -109,10 +109,11 @@ class KeyedTable:
         compaction before are removed now, so readers that started earlier keep their files.
         """
         runs = self._runs()
-        for first, upto in set(self._all_runs()) - set(runs):
-            self._files.delete(self._run(first, upto))
-            if not self._numbers(f"{self.path}/runs/first={first}"):
-                self._files.delete(f"{self.path}/runs/first={first}")
+        for replaced in set(self._all_runs()) - set(runs):
+            self._files.delete(self._run(*replaced))
+            parent = f"{self.path}/runs/first={replaced[0]}"
+            if not self._numbers(parent):
+                self._files.delete(parent)
         candidates = [run for run in runs if upto is None or run[1] <= upto][::-1]
         taken, total = [], 0
         for run in candidates:
