@@ -224,7 +224,7 @@ def events_of_account(spark, sf_dir):
 @query("events_between_open", oracle.with_events(f"""SELECT * FROM app_event
     WHERE account_id = '{ACCOUNT}' AND event_timestamp > {START} AND event_timestamp < {END}"""))
 def events_between_open(spark, sf_dir):
-    return lookups.events_between(app_events(spark, sf_dir, ACCOUNT), ACCOUNT, START, END)
+    return lookups.events_between(app_events(spark, sf_dir, ACCOUNT, START, END), ACCOUNT, START, END)
 
 
 @query("events_key_range", oracle.with_events(f"""SELECT * FROM app_event
@@ -232,7 +232,7 @@ def events_between_open(spark, sf_dir):
       AND event_timestamp >= {START} AND event_timestamp < {END}
     ORDER BY event_timestamp, event_type, event_id"""))
 def events_key_range(spark, sf_dir):
-    rows = encode_events(app_events(spark, sf_dir, ACCOUNT), NUM_SALTS)
+    rows = encode_events(app_events(spark, sf_dir, ACCOUNT, START, END), NUM_SALTS)
     return lookups.events_in_range(rows, ACCOUNT, APP, NUM_SALTS, START, END)
 
 

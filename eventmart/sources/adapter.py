@@ -10,11 +10,15 @@ from eventmart.schemas import BUY, CREDIT, DEBIT, LOGIN, LOGOUT, LOSE, PAYPAL, W
 RAW_SCHEMA = "event_id LONG, ts TIMESTAMP, user_id LONG, event_type STRING, value DOUBLE, props STRING"
 
 
-def app_events(spark, sf_dir, account_id=None):
-    """The event table. An account given here prunes the raw scan as well."""
+def app_events(spark, sf_dir, account_id=None, start=None, end=None):
+    """The event table. An account or time range [start, end] given here prunes the raw scan as well."""
     raw = spark.read.schema(RAW_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     if account_id is not None:
         raw = raw.where(F.col("user_id") == int(account_id))
+    if start is not None:
+        raw = raw.where(F.col("ts") >= F.timestamp_millis(F.lit(start)))
+    if end is not None:
+        raw = raw.where(F.col("ts") < F.timestamp_millis(F.lit(end + 1)))
     kind, user = F.col("event_type"), F.col("user_id").cast("string")
     turn = F.pmod(F.col("event_id"), F.lit(3))
     stamped = raw.withColumn("event_timestamp", F.unix_millis("ts"))

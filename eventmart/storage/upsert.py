@@ -40,7 +40,7 @@ class KeyedTable:
         self.spark, self.path, self.key = spark, path.rstrip("/"), list(key)
         self.schema, self.order = schema, list(order)
         self.one_row_per_batch = one_row_per_batch
-        self._files = Files(spark, path)
+        self._files, self._written = Files(spark, path), False
 
     def _run(self, first, upto):
         return f"{self.path}/runs/first={first}/upto={upto}"
@@ -64,7 +64,12 @@ class KeyedTable:
         return chosen[::-1]
 
     def write(self, rows, batch_id):
-        """Store a batch. Writing the same batch again replaces it. A key without a value is an error."""
+        """Store a batch. Writing the same batch again replaces it. A key without a value is an error,
+        and so is a first batch older than what is folded, as a new checkpoint over an old table gives.
+        """
+        if not self._written and any(a < b and batch_id <= b for a, b in self._runs()):
+            raise ValueError(f"batch {batch_id} is already folded into {self.path}; use a new table")
+        self._written = True
         complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key])
         no_value = F.raise_error(F.lit(f"null in key {self.key}")).cast("boolean")
         checked = rows.select(*self.schema.names).where(F.when(complete, F.lit(True)).otherwise(no_value))

@@ -85,6 +85,18 @@ def test_unfinished_run_is_not_read(spark, folder, make_marts):
     assert [r.win_count for r in table.latest().collect()] == [1]
 
 
+def test_a_restarted_numbering_is_refused(spark, folder, make_marts):
+    def table():
+        return KeyedTable(spark, f"{folder}/m", MART_SCHEMA, MART_KEY)
+    for batch in (0, 1):
+        table().write(make_marts(mart_row("a", batch)), batch)
+    table().compact()
+    with pytest.raises(ValueError, match="already folded"):
+        table().write(make_marts(mart_row("a", 9)), 0)
+    table().write(make_marts(mart_row("a", 9)), 2)
+    assert table().latest().first().win_count == 9
+
+
 def test_null_key_is_an_error(spark, folder, make_marts):
     table = KeyedTable(spark, f"{folder}/m", MART_SCHEMA, MART_KEY)
     with pytest.raises(PySparkException, match="null in key"):
