@@ -44,7 +44,8 @@ def stream_wide(spark, args):
 
 
 def stream_files(spark, args):
-    run_stream(jobs.run_files(records(spark, args), args.path, args.min_file_size, args.checkpoint, args.seconds), args)
+    run_stream(jobs.run_files(
+        records(spark, args), args.path, args.min_file_size, args.checkpoint, args.seconds, args.table), args)
 
 
 def stream_docs(spark, args):
@@ -114,7 +115,7 @@ KAFKA = ["--brokers!", "--topic!", "--acks:int=1", "--linger-ms:int", "--batch-s
 JOBS = {
     "stream-keyed": (stream_keyed, [*STREAM, "--events!", "--marts!"]),
     "stream-wide": (stream_wide, [*STREAM, "--events!", "--marts!", "--salts:int!"]),
-    "stream-files": (stream_files, [*STREAM, "--path!", "--min-file-size:int!"]),
+    "stream-files": (stream_files, [*STREAM, "--path!", "--min-file-size:int!", "--table"]),
     "stream-docs": (stream_docs, [*STREAM, "--path", "--send"]),
     "wins": (wins, ["--marts!"]),
     "purchases": (purchases, ["--events!"]),

@@ -4,11 +4,12 @@ from eventmart.functions.wide_rows import decode_marts
 from eventmart.plans import oracle
 from eventmart.plans.batch import DOCUMENTS_SQL, NUM_SALTS, cents
 from eventmart.plans.registry import query
-from eventmart.schemas import DOCUMENT_SCHEMA, EVENT_COLUMNS, EVENT_SCHEMA
+from eventmart.schemas import DOCUMENT_SCHEMA, EVENT_COLUMNS, EVENT_FILE_SCHEMA
 from eventmart.session import work_dir
 from eventmart.sources.adapter import stage_topic
 from eventmart.sources.streams import record_stream
 from eventmart.storage.compaction import CompactingTable
+from eventmart.storage.layouts import from_file_layout
 from eventmart.streaming import jobs
 
 
@@ -53,4 +54,4 @@ def stream_event_files(spark, sf_dir):
     work = work_dir(spark, "stream-files")
     size = 128 << 20
     jobs.finish(jobs.run_files(_records(spark, sf_dir, work), f"{work}/files", size, f"{work}/checkpoint"))
-    return CompactingTable(spark, f"{work}/files", EVENT_SCHEMA, size).rows()
+    return from_file_layout(CompactingTable(spark, f"{work}/files", EVENT_FILE_SCHEMA, size).rows())

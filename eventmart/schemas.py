@@ -37,6 +37,10 @@ EVENT_FILE_COLUMNS = [
     "purchase", "payment_type", "session_id", "latitude", "longitude",
 ]
 
+EVENT_FILE_SCHEMA = T.StructType([
+    T.StructField(c, T.TimestampType()) if c == "event_timestamp" else EVENT_SCHEMA[c] for c in EVENT_FILE_COLUMNS
+])
+
 EVENT_COLUMNS = EVENT_SCHEMA.names
 MART_COLUMNS = MART_SCHEMA.names
 EVENT_KEY = ["account_id", "app_id", "event_timestamp", "event_id", "event_type"]

@@ -11,13 +11,14 @@ from eventmart.functions.documents import event_documents
 from eventmart.functions.wide_rows import encode_events, encode_marts
 from eventmart.operators.mart import account_mart
 from eventmart.schemas import (
-    DOCUMENT_SCHEMA, EVENT_COLUMNS, EVENT_KEY, EVENT_SCHEMA, EVENT_WIDE_SCHEMA, MART_KEY, MART_SCHEMA,
+    DOCUMENT_SCHEMA, EVENT_FILE_SCHEMA, EVENT_KEY, EVENT_SCHEMA, EVENT_WIDE_SCHEMA, MART_KEY, MART_SCHEMA,
     MART_WIDE_SCHEMA,
 )
 from eventmart.session import STATE_STORE, session_conf
 from eventmart.sources.streams import event_stream
 from eventmart.storage.compaction import CompactingTable
 from eventmart.storage.documents import index_documents
+from eventmart.storage.layouts import table_schema, to_file_layout
 from eventmart.storage.upsert import KeyedTable
 
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -108,11 +109,17 @@ def run_wide(records, events_path, marts_path, num_salts, checkpoint, seconds=No
     ]
 
 
-def run_files(records, path, min_file_size, checkpoint, seconds=None, schema=EVENT_SCHEMA):
-    """Events into Parquet files of a minimum size."""
-    table = CompactingTable(records.sparkSession, path, schema, min_file_size)
-    rows = event_stream(records).select(*EVENT_COLUMNS)
-    return _start(rows, table.add, f"{checkpoint}/files", seconds, "append")
+def run_files(records, path, min_file_size, checkpoint, seconds=None, table=None):
+    """Events into Parquet files of a minimum size, in the file table's layout.
+
+    `path/table` is the folder for an external table. The columns are those of `table` where a catalog
+    table is named, otherwise those of the standard event table.
+    """
+    spark = records.sparkSession
+    schema = table_schema(spark, table) if table else EVENT_FILE_SCHEMA
+    sink = CompactingTable(spark, path, schema, min_file_size)
+    rows = to_file_layout(event_stream(records)).select(*schema.names)
+    return _start(rows, sink.add, f"{checkpoint}/files", seconds, "append")
 
 
 def run_docs(records, checkpoint, send=None, table_path=None, batch_size=100, retry_wait=2.0, seconds=None,

@@ -9,9 +9,10 @@ from pyspark.errors import StreamingQueryException
 from eventmart.functions.documents import event_documents
 from eventmart.functions.wide_rows import decode_events, decode_marts
 from eventmart.operators.mart import account_mart
-from eventmart.schemas import DOCUMENT_SCHEMA, EVENT_COLUMNS, EVENT_SCHEMA
+from eventmart.schemas import DOCUMENT_SCHEMA, EVENT_COLUMNS, EVENT_FILE_SCHEMA
 from eventmart.sources import streams
 from eventmart.storage.compaction import CompactingTable
+from eventmart.storage.layouts import create_file_table, drop_tables, from_file_layout
 from eventmart.streaming import jobs
 
 DAY = 86_400_000
@@ -106,9 +107,20 @@ def test_wide_job(spark, folder, full_topic, make_events):
 
 def test_file_job(spark, folder, full_topic, make_events):
     jobs.finish(jobs.run_files(full_topic.records(), f"{folder}/f", 100_000, f"{folder}/c"))
-    table = CompactingTable(spark, f"{folder}/f", EVENT_SCHEMA, 100_000)
-    assert table.last_batch() == 3
-    assert rows_of(table.rows()) == rows_of(make_events(*all_rows()))
+    table = CompactingTable(spark, f"{folder}/f", EVENT_FILE_SCHEMA, 100_000)
+    assert table.last_batch() == 3 and table.pending(3).count() == len(all_rows())
+    assert rows_of(from_file_layout(table.rows())) == rows_of(make_events(*all_rows()))
+
+
+def test_file_job_feeds_an_external_table(spark, folder, full_topic, make_events):
+    table = create_file_table(spark, "streamed_events", f"{folder}/f/table")
+    try:
+        jobs.finish(jobs.run_files(full_topic.records(), f"{folder}/f", 1, f"{folder}/c", table="streamed_events"))
+        spark.catalog.refreshTable("streamed_events")
+        assert rows_of(from_file_layout(spark.table("streamed_events"))) == rows_of(make_events(*all_rows()))
+        assert table.columns == EVENT_FILE_SCHEMA.names
+    finally:
+        drop_tables(spark, "streamed_events")
 
 
 def test_document_job_into_a_table(spark, folder, full_topic, make_events):
