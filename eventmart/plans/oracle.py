@@ -66,7 +66,8 @@ def salt_sql(column, num_salts):
 
 
 def event_key_sql(num_salts):
-    padded = ("lpad(CAST(event_timestamp AS VARCHAR), CAST(greatest(11, length(CAST(event_timestamp AS VARCHAR))) AS INTEGER), '0')")
+    stamp = "CAST(event_timestamp AS VARCHAR)"
+    padded = f"lpad({stamp}, CAST(greatest(11, length({stamp})) AS INTEGER), '0')"
     return (f"{salt_sql('account_id', num_salts)} || ':' || account_id || ':' || app_id || ':' || {padded}"
             " || ':' || event_type || ':' || event_id")
 

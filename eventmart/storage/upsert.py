@@ -45,6 +45,11 @@ class KeyedTable:
     def _run(self, first, upto):
         return f"{self.path}/runs/first={first}/upto={upto}"
 
+    def _save(self, rows, run):
+        # readers tell a finished run by its marker, so it is asked for whatever the cluster's default
+        marked = rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        marked.mode("overwrite").parquet(run)
+
     def _numbers(self, folder):
         return [int(name.split("=")[1]) for name, _ in self._files.list(folder)]
 
@@ -73,7 +78,7 @@ class KeyedTable:
         complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key])
         no_value = F.raise_error(F.lit(f"null in key {self.key}")).cast("boolean")
         checked = rows.select(*self.schema.names).where(F.when(complete, F.lit(True)).otherwise(no_value))
-        checked.write.mode("overwrite").parquet(self._run(batch_id, batch_id))
+        self._save(checked, self._run(batch_id, batch_id))
 
     def _read(self, runs):
         schema = T.StructType([*self.schema.fields, T.StructField("upto", T.LongType())])
@@ -130,4 +135,4 @@ class KeyedTable:
         if len(taken) > 1:
             target = self._run(taken[-1][0], taken[0][1])
             folded = self._fold(taken[::-1]).sortWithinPartitions(*self.key)  # narrow min/max per row group
-            folded.write.mode("overwrite").parquet(target)
+            self._save(folded, target)
