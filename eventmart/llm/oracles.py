@@ -53,3 +53,19 @@ SOURCE_MIX = f"""
     WITH {SIZED}, {MIX_STEPS}
     SELECT q.doc_id, q.size, q.source_size, q.target, CAST(q.size * coalesce(c.times, 0) AS BIGINT) AS taken
     FROM queued q LEFT JOIN counted c ON q.doc_id = c.doc_id AND q.size = c.size"""
+
+CHAT_FORMAT = r"""
+    WITH spoken AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL
+        SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)),
+    escaped AS (
+        SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') AS safe_text,
+               replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ': ', '\: ') AS safe_role
+        FROM spoken)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length(safe_role) + length(safe_text) + 14) AS BIGINT) AS formatted_chars
+    FROM escaped GROUP BY conv_id"""

@@ -1,7 +1,10 @@
 """The named queries of the operators: each applies its operator to a whole table."""
 
-from eventmart.llm import exact_dedup, mixing, oracles
+import public_tokenizers
+
+from eventmart.llm import chat, exact_dedup, mixing, oracles, packing, quality, token_files
 from eventmart.llm.common import table
+from eventmart.session import work_dir
 
 QUERIES = {}
 ORACLES = {}
@@ -16,12 +19,36 @@ def query(name, sql=None):
     return add
 
 
+@query("op2_harmonic_packing")
+def op2_harmonic_packing(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.harmonic_pack(table(spark, sf_dir, "documents"), path, end_id=1)
+
+
 @query("op4_source_mix", oracles.SOURCE_MIX)
 def op4_source_mix(spark, sf_dir):
     mix = mixing.fair_mix(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_token_files")
+def op6_token_files(spark, sf_dir):
+    folder = work_dir(spark, "token-files")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, path, end_id=2, id_bytes=2)
+    return token_files.read_token_files(spark, folder)
+
+
+@query("op8_quality")
+def op8_quality(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op9_exact_dedup", oracles.EXACT_DEDUP)
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op10_chat_format", oracles.CHAT_FORMAT)
+def op10_chat_format(spark, sf_dir):
+    return chat.digests(chat.formatted(chat.with_probe(table(spark, sf_dir, "conversations"))))
