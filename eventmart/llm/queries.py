@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from eventmart.llm import chat, exact_dedup, mixing, oracles, packing, quality, token_files
+from eventmart.llm import chat, exact_dedup, mixing, near_dedup, oracles, packing, quality, substring_dedup, token_files
 from eventmart.llm.common import table
 from eventmart.session import work_dir
 
@@ -25,12 +25,22 @@ def op2_harmonic_packing(spark, sf_dir):
     return packing.harmonic_pack(table(spark, sf_dir, "documents"), path, end_id=1)
 
 
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark, sf_dir):
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op4_source_mix", oracles.SOURCE_MIX)
 def op4_source_mix(spark, sf_dir):
     mix = mixing.fair_mix(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op5_near_dedup")
+def op5_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op6_token_files")
 def op6_token_files(spark, sf_dir):
     folder = work_dir(spark, "token-files")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20  # texts are taken together up to this size; a longer text is taken alone
+SLICE_ROWS = 4000      # fewer than 1 << 12
 U = np.uint64
 MULTIPLIER = U(0x9E3779B97F4A7C15)
 INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -99,12 +100,12 @@ def buffers(column):
     return data, offsets
 
 
-def slices(column, hasher, lower=True, limit=SLICE_BYTES):
+def slices(column, hasher, lower=True, limit=SLICE_BYTES, rows=SLICE_ROWS):
     """(first row, row after the last, Words) over a column, in slices of bounded size."""
     data, offsets = buffers(column)
     at = 0
     while at < len(offsets) - 1:
-        upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+        upto = min(max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1), at + rows)
         part = offsets[at:upto + 1]
         yield at, upto, Words(data[part[0]:part[-1]], part - part[0], hasher, lower)
         at = upto
