@@ -1,8 +1,9 @@
 """The named queries of the operators: each applies its operator to a whole table."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from eventmart.llm import chat, exact_dedup, mixing, near_dedup, oracles, packing, quality, substring_dedup, token_files
+from eventmart.llm import chat, exact_dedup, mixing, near_dedup, neighbours, oracles, packing, quality, substring_dedup, token_files
 from eventmart.llm.common import table
 from eventmart.session import work_dir
 
@@ -49,6 +50,11 @@ def op6_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, folder)
 
 
+@query("op7_nearest_neighbours")
+def op7_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query("op8_quality")
 def op8_quality(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
