@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, exact_dedup, mixing, near_dedup, neighbours, oracles, packing, quality, substring_dedup, token_files
+from eventmart.llm import chat, exact_dedup, lm, mixing, near_dedup, neighbours, oracles, packing, quality, substring_dedup, token_files
 from eventmart.llm.common import table
 from eventmart.session import work_dir
 
@@ -20,6 +20,11 @@ def query(name, sql=None):
     return add
 
 
+@query("op1_language_scores")
+def op1_language_scores(spark, sf_dir):
+    return lm.language_scores(table(spark, sf_dir, "documents"))
+
+
 @query("op2_harmonic_packing")
 def op2_harmonic_packing(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
