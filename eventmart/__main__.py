@@ -7,18 +7,15 @@ from eventmart.functions.documents import as_json
 from eventmart.functions.wide_rows import encode_events, encode_marts
 from eventmart.operators import learning, lookups, publish, sums
 from eventmart.session import build_session
+from eventmart.sources.open import open_events, open_marts, open_table, open_wide, stored_table
 from eventmart.sources.streams import record_stream
-from eventmart.sources.tables import events_by_name, marts_by_name, text_lines
-from eventmart.storage.layouts import copy_table
+from eventmart.sources.tables import text_lines
+from eventmart.storage import layouts
+from eventmart.storage.compaction import CompactingTable
 from eventmart.storage.salted import write_salted
 from eventmart.streaming import jobs
 
 
-def load(spark, name):
-    """A Parquet folder if the name has a slash, otherwise a catalog table."""
-    return spark.read.parquet(name) if "/" in name else spark.table(name)
-
-
 def records(spark, args):
     if args.brokers:
         return record_stream(
@@ -35,12 +32,15 @@ def run_stream(queries, args):
 
 
 def stream_keyed(spark, args):
-    run_stream(jobs.run_keyed(records(spark, args), args.events, args.marts, args.checkpoint, args.seconds), args)
+    run_stream(jobs.run_keyed(
+        records(spark, args), args.events, args.marts, args.checkpoint, args.seconds,
+        state_partitions=args.state_partitions), args)
 
 
 def stream_wide(spark, args):
     run_stream(jobs.run_wide(
-        records(spark, args), args.events, args.marts, args.salts, args.checkpoint, args.seconds), args)
+        records(spark, args), args.events, args.marts, args.salts, args.checkpoint, args.seconds,
+        state_partitions=args.state_partitions), args)
 
 
 def stream_files(spark, args):
@@ -57,30 +57,58 @@ def stream_docs(spark, args):
         records(spark, args), args.checkpoint, send=send, table_path=args.path, seconds=args.seconds), args)
 
 
+def compact(spark, args):
+    """Fold a keyed table beside its stream, or publish what a compacting table still holds back."""
+    table = stored_table(spark, args.path)
+    if table is None:
+        raise SystemExit(f"{args.path} is no keyed or compacting table")
+    table.flush() if isinstance(table, CompactingTable) else table.compact_finished()
+
+
 def wins(spark, args):
-    sums.first_accounts(sums.wins_per_account(load(spark, args.marts))).show(100, truncate=False)
+    sums.first_accounts(sums.wins_per_account(open_marts(spark, args.marts))).show(100, truncate=False)
 
 
 def purchases(spark, args):
-    sums.first_accounts(sums.purchases_per_account(load(spark, args.events))).show(100, truncate=False)
+    sums.first_accounts(sums.purchases_per_account(open_events(spark, args.events))).show(100, truncate=False)
 
 
 def copy(spark, args):
-    copy_table(spark, args.source, args.target, args.path)
+    source = args.source
+    if "/" in source:
+        open_table(spark, source).createOrReplaceTempView("source_of_copy")
+        source = "source_of_copy"
+    layouts.copy_table(spark, source, args.target, args.path)
+
+
+def create_table(spark, args):
+    """An external table over a folder of event files, or a bucketed copy of an event or mart table."""
+    if args.files:
+        layouts.create_file_table(spark, args.table, args.files)
+    else:
+        rows = open_events(spark, args.events) if args.events else open_marts(spark, args.marts)
+        layouts.write_keyed(rows, args.table, args.buckets, args.path)
+
+
+def drop_table(spark, args):
+    layouts.drop_tables(spark, args.table)
 
 
 def ml_report(spark, args):
-    for name, table in learning.report(spark, marts_by_name(load(spark, args.marts)), args.centers, args.iterations).items():
+    for name, table in learning.report(spark, open_marts(spark, args.marts), args.centers, args.iterations).items():
         print(name)
-        table.show(200, truncate=False)
+        table.show(max(1, table.count()), truncate=False)
 
 
 def create_salted(spark, args):
+    """Rows of a keyed table have one version per key already."""
+    name = args.events or args.marts
+    unique = "/" in name and stored_table(spark, name) is not None and not isinstance(stored_table(spark, name), CompactingTable)
     if args.events:
-        rows = encode_events(events_by_name(load(spark, args.events)), args.salts)
+        rows = encode_events(open_events(spark, args.events), args.salts)
     else:
-        rows = encode_marts(marts_by_name(load(spark, args.marts)), args.salts)
-    write_salted(rows, args.path, args.salts, args.regions)
+        rows = encode_marts(open_marts(spark, args.marts), args.salts)
+    write_salted(rows, args.path, args.salts, args.regions, unique=unique)
 
 
 def publish_lines(spark, args):
@@ -91,24 +119,37 @@ def publish_lines(spark, args):
 
 def publish_events(spark, args):
     publish.publish(
-        publish.event_records(load(spark, args.events)), brokers=args.brokers, topic=args.topic,
+        publish.event_records(open_events(spark, args.events)), brokers=args.brokers, topic=args.topic,
         acks=args.acks, linger_ms=args.linger_ms, batch_size=args.batch_size)
 
 
 def lookup_marts(spark, args):
-    marts = load(spark, args.marts)
+    marts = open_marts(spark, args.marts)
     found = lookups.mart_of(marts, args.account, args.app) if args.app else lookups.marts_of_account(marts, args.account)
     for row in as_json(found).toLocalIterator():
         print(row.json)
 
 
 def lookup_events(spark, args):
-    found = lookups.events_between(load(spark, args.events), args.account, args.start, args.end)
+    found = lookups.events_between(open_events(spark, args.events), args.account, args.start, args.end)
+    for row in as_json(found).toLocalIterator():
+        print(row.json)
+
+
+def lookup_events_by_key(spark, args):
+    rows = open_wide(spark, args.path)
+    found = lookups.events_in_range(rows, args.account, args.app, args.salts, args.start, args.end)
+    for row in as_json(found).toLocalIterator():
+        print(row.json)
+
+
+def lookup_mart_by_key(spark, args):
+    found = lookups.mart_by_row_key(open_wide(spark, args.path, marts=True), args.account, args.app, args.salts)
     for row in as_json(found).toLocalIterator():
         print(row.json)
 
 
-STREAM = ["--brokers", "--topics", "--input", "--starting-offsets=latest", "--seconds:int", "--checkpoint!"]
+STREAM = ["--brokers", "--topics", "--input", "--starting-offsets=latest", "--seconds:int", "--checkpoint!", "--state-partitions:int"]
 KAFKA = ["--brokers!", "--topic!", "--acks:int=1", "--linger-ms:int", "--batch-size:int"]
 
 # Options per job: `!` marks a required one, `:int` a number, `=` a default.
@@ -117,6 +158,9 @@ JOBS = {
     "stream-wide": (stream_wide, [*STREAM, "--events!", "--marts!", "--salts:int!"]),
     "stream-files": (stream_files, [*STREAM, "--path!", "--min-file-size:int!", "--table"]),
     "stream-docs": (stream_docs, [*STREAM, "--path", "--send"]),
+    "compact": (compact, ["--path!"]),
+    "create-table": (create_table, ["--table!", "--files", "--events", "--marts", "--buckets:int=3", "--path"]),
+    "drop-table": (drop_table, ["--table!"]),
     "wins": (wins, ["--marts!"]),
     "purchases": (purchases, ["--events!"]),
     "copy-table": (copy, ["--source!", "--target!", "--path"]),
@@ -125,6 +169,8 @@ JOBS = {
     "publish-lines": (publish_lines, ["--path!", *KAFKA]),
     "publish-events": (publish_events, ["--events!", *KAFKA]),
     "lookup-marts": (lookup_marts, ["--marts!", "--account!", "--app"]),
+    "lookup-events-by-key": (lookup_events_by_key, ["--path!", "--account!", "--app!", "--salts:int!", "--start:int", "--end:int"]),
+    "lookup-mart-by-key": (lookup_mart_by_key, ["--path!", "--account!", "--app!", "--salts:int!"]),
     "lookup-events": (lookup_events, ["--events!", "--account!", "--start:int", "--end:int"]),
 }
 

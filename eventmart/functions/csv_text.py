@@ -3,16 +3,28 @@
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.schemas import EVENT_COLUMNS, EVENT_SCHEMA, MART_COLUMNS, MART_SCHEMA
 
+EVENT_OUTCOME, REJECT_OUTCOME = "event", "reject"
+
+
+def _cell(i, field):
+    """A cell as its type, or null. A whole number has no blanks around it; a double may have."""
+    cell = F.get("_cells", F.lit(i))
+    value = cell.try_cast(field.dataType)
+    if isinstance(field.dataType, (T.LongType, T.IntegerType)):
+        return F.when(~cell.rlike(r"\s"), value)
+    return value
+
 
 def _typed(lines, schema, column, carry):
     # Exploding a one-element array keeps the optimizer from splitting the line once per cell.
     cells = lines.select(*carry, F.explode(F.array(F.split(column, ","))).alias("_cells"))
     typed = cells.select(
         *carry, "_cells",
-        *[F.get("_cells", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema)],
+        *[_cell(i, f).alias(f.name) for i, f in enumerate(schema)],
     )
     complete = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in schema.names])
     return typed, complete
@@ -25,11 +37,16 @@ def _parse(lines, schema, column, carry):
     return checked.select(*carry, *schema.names)
 
 
-def _quarantine(lines, schema, column, carry):
+def _outcomes(lines, schema, column, carry):
     typed, complete = _typed(lines, schema, column, carry)
-    good = typed.where(complete).select(*carry, *schema.names)
-    rejects = typed.where(~complete).select(*carry, F.array_join("_cells", ",").alias(column))
-    return good, rejects
+    outcome = F.when(complete, EVENT_OUTCOME).otherwise(REJECT_OUTCOME)
+    return typed.select(*carry, F.array_join("_cells", ",").alias(column), outcome.alias("outcome"), *schema.names)
+
+
+def _quarantine(lines, schema, column, carry):
+    rows = _outcomes(lines, schema, column, carry)
+    good = rows.where(F.col("outcome") == EVENT_OUTCOME).select(*carry, *schema.names)
+    return good, rows.where(F.col("outcome") == REJECT_OUTCOME).select(*carry, column)
 
 
 def parse_events(lines, column="value", carry=()):
@@ -42,6 +59,12 @@ def parse_events_quarantine(lines, column="value", carry=()):
     return _quarantine(lines, EVENT_SCHEMA, column, list(carry))
 
 
+def parse_events_outcomes(lines, column="value", carry=()):
+    """CSV lines with their `outcome` (event or reject) and the events' columns, in one pass over the lines: to
+    be written once, partitioned by outcome, where both sides are wanted."""
+    return _outcomes(lines, EVENT_SCHEMA, column, list(carry))
+
+
 def parse_marts(lines, column="value", carry=()):
     """CSV lines to marts. A short line or an unreadable number fails the job."""
     return _parse(lines, MART_SCHEMA, column, list(carry))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.functions.instants import utc_seconds_text
+from eventmart.functions.wide_rows import joined_key
 
 # Dynamic-field suffix per type; other types are left out.
 SUFFIXES = {
@@ -16,7 +17,7 @@ TEXT_SUFFIX = "_t"
 def event_documents(events, carry=()):
     """One search document per event, with id `type:event_id`."""
     return events.select(
-        F.concat_ws(":", "event_type", "event_id").alias("id"),
+        joined_key("event_type", "event_id").alias("id"),
         "account_id", "app_id",
         utc_seconds_text("event_timestamp").alias("event_time_stamp"),
         "event_id", "event_type", "purchase", "payment_type", "session_id", "latitude", "longitude",

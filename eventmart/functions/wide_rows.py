@@ -31,15 +31,20 @@ def _padded(timestamp):
     return F.lpad(text, F.greatest(F.length(text), F.lit(TIMESTAMP_WIDTH)), F.lit("0"))
 
 
+def joined_key(*parts):
+    """Parts joined by colons. A missing part is an error: without it the others would shift."""
+    columns = [F.col(p) if isinstance(p, str) else p for p in parts]
+    key = F.concat(*[x for c in columns for x in (F.lit(":"), c)][1:])
+    return F.coalesce(key, F.raise_error(F.lit("null in a key part")).cast("string"))
+
+
 def event_row_key(num_salts):
-    return F.concat_ws(
-        ":", salt("account_id", num_salts), "account_id", "app_id",
-        _padded("event_timestamp"), "event_type", "event_id",
-    )
+    return joined_key(
+        salt("account_id", num_salts), "account_id", "app_id", _padded("event_timestamp"), "event_type", "event_id")
 
 
 def mart_row_key(num_salts):
-    return F.concat_ws(":", salt("account_id", num_salts), "account_id", "app_id")
+    return joined_key(salt("account_id", num_salts), "account_id", "app_id")
 
 
 def mart_key_of(account_id, app_id, num_salts):

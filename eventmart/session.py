@@ -1,11 +1,12 @@
 """Session settings and the shared working folder."""
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from eventmart.storage.files import Files
+
 # State outside the JVM heap; a commit uploads the changes, not a snapshot.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -34,17 +35,17 @@ def build_session(app_name="eventmart", master=None, **conf):
 
 
 def work_dir(spark, name):
-    """A new folder under the shared folder named by `spark.checkpoint.dir`.
+    """A new folder that all executors share, under `spark.checkpoint.dir` or else the warehouse.
 
-    Only a local session without that setting gets a temporary folder; on a cluster its absence is
-    an error, since executors could not see a folder of the driver's machine.
+    The folders of a session lie together and are removed when its driver ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="eventmart-")
-    return f"{root.rstrip('/')}/eventmart/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    session = f"{root.rstrip('/')}/eventmart-{spark.sparkContext.applicationId}"
+    files = Files(spark, session)
+    if not files.exists(session):
+        files.mkdirs(session)
+        files.delete_on_exit(session)
+    return f"{session}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager

@@ -2,36 +2,38 @@
 
 from concurrent.futures import ThreadPoolExecutor
 
-from eventmart.storage.files import Files
-
-MAX_PENDING_FILES = 200
+from eventmart.storage.descriptor import describe
+from eventmart.storage.files import Files, version_of
 
 
 class CompactingTable:
     """`table/` holds published files, `pending/` those that are still too small.
 
     Each batch is written once, in parallel; its large files are published as they are. Small files
-    wait until together they make up a publishable file, or until there are too many of them, and
-    are then joined by one job. So a row is written twice at most, plus the remainders. The manifest
-    of a batch names the files pending after it; table and last manifest together hold every row once.
+    wait until together they make up a publishable file, until there are more than `max_pending_files` of them,
+    or until `flush`, and are then joined by one job. So a row is written twice at most, plus the remainders.
+
+    Batches have versions from their owner and number (`files.version_of`), and files the version in their
+    names. The manifest of a version names the files pending after it and makes it count: readers here take
+    the published files up to the last manifest's version and the files it names, so they see
+    every row once while a batch is under way. A reader of `table/` itself may meet a part of the batch under way.
     """
 
-    def __init__(self, spark, path, schema, min_size, target_size=None):
+    def __init__(self, spark, path, schema, min_size, target_size=None, max_pending_files=200):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.min_size = min_size
+        self.min_size, self.max_pending_files = min_size, max_pending_files
         self.target_size = max(target_size or 0, min_size * 3 // 2, 1)
         self.table, self._pending = f"{self.path}/table", f"{self.path}/pending"
         self._files = Files(spark, path)
 
-    def _manifest(self, batch_id):
-        return f"{self.path}/manifest/v={batch_id}"
+    def _manifest(self, version):
+        return f"{self.path}/manifest/v={version}"
 
-    def _started(self, batch_id):
-        return f"{self.path}/started/v={batch_id}"
+    def _names(self, version):
+        return [] if version is None else self._files.read_text(self._manifest(version)).split()
 
-    def _names(self, batch_id):
-        manifest = self._manifest(batch_id)
-        return self._files.read_text(manifest).split() if self._files.exists(manifest) else []
+    def _versions(self):
+        return sorted(int(name.split("=")[1]) for name, _ in self._files.list(f"{self.path}/manifest"))
 
     def _read(self, *paths):
         return self.spark.read.schema(self.schema).parquet(*paths)
@@ -39,72 +41,88 @@ class CompactingTable:
     def _sized(self, folder):
         return [(f"{folder}/{name}", size) for name, size in self._files.list(folder)]
 
-    def _move(self, paths, folder, batch_id, stage):
-        """Move files into a folder under names that only this batch uses; returns the names."""
-        names = [f"part-{batch_id}-{stage}{i}.parquet" for i in range(len(paths))]
+    def _move(self, paths, folder, version, stage):
+        """Move files into a folder under names that only this version uses; returns the names."""
+        names = [f"part-{version}-{stage}{i}.parquet" for i in range(len(paths))]
         with ThreadPoolExecutor(16) as pool:
             list(pool.map(lambda p, n: self._files.rename(p, f"{folder}/{n}"), paths, names))
         return names
 
-    def _begin(self, batch_id):
+    def _begin(self, version):
         """Note the start of a batch; where it was started before, undo what it left."""
-        if self._files.exists(self._started(batch_id)):
+        started = f"{self.path}/started/v={version}"
+        if self._files.exists(started):
             for folder in (self.table, self._pending):
                 for name, _ in self._files.list(folder):
-                    if name.startswith(f"part-{batch_id}-"):
+                    if name.startswith(f"part-{version}-"):
                         self._files.delete(f"{folder}/{name}")
-            self._files.delete(self._manifest(batch_id))
-        for folder in (self.table, self._pending, self._started(batch_id)):
+            self._files.delete(self._manifest(version))
+        for folder in (self.table, self._pending, started):
             self._files.mkdirs(folder)
 
-    def add(self, rows, batch_id):
-        """Take in a batch. Running a batch again gives the same rows."""
-        self._begin(batch_id)
-        scratch = f"{self.path}/scratch/v={batch_id}"
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{scratch}/arrived")
-        arrived = self._sized(f"{scratch}/arrived")
+    def add(self, rows, batch_id, owner="batch"):
+        """Take in a batch. Running a batch of an owner again gives the same rows."""
+        self._take(rows, version_of(self._files, self.path, owner, batch_id))
+
+    def flush(self):
+        """Publish all that is pending, whatever its size: for the end of a run, or a reader that waits."""
+        if any(self._names(v) for v in self._versions()[-1:]):
+            self._take(None, version_of(self._files, self.path, "flush", self._versions()[-1]), everything=True)
+
+    def _take(self, rows, version, everything=False):
+        self._begin(version)
+        describe(self._files, self.path, kind="files", schema=self.schema.jsonValue(), min_size=self.min_size)
+        scratch = f"{self.path}/scratch/v={version}"
+        arrived = []
+        if rows is not None:
+            rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{scratch}/arrived")
+            arrived = self._sized(f"{scratch}/arrived")
         large = [p for p, size in arrived if size >= self.min_size]
         small = [p for p, size in arrived if size < self.min_size]
-        kept = self._names(batch_id - 1)
+        before = [v for v in self._versions() if v < version]
+        kept = self._names(before[-1] if before else None)
 
         sizes = dict(arrived + self._sized(self._pending))
         candidates = small + [f"{self._pending}/{name}" for name in kept]
         total = sum(sizes[p] for p in candidates)
-        if total >= self.min_size or len(candidates) > MAX_PENDING_FILES:
+        if candidates and (everything or total >= self.min_size or len(candidates) > self.max_pending_files):
             parts = max(1, total // self.target_size)
             self._read(*candidates).coalesce(parts).write.mode("overwrite").parquet(f"{scratch}/joined")
             joined = self._sized(f"{scratch}/joined")
-            self._move([p for p, size in joined if size >= self.min_size], self.table, batch_id, "j")
-            small, kept = [p for p, size in joined if size < self.min_size], []
-
-        self._move(large, self.table, batch_id, "a")
-        kept = kept + self._move(small, self._pending, batch_id, "p")
-        self._files.write_text(self._manifest(batch_id), "\n".join(kept))
-        self._forget(batch_id - 2, batch_id - 1, scratch)
-
-    def _forget(self, old, previous, scratch):
-        """Remove what no replay can need: the files of an old manifest that the next one let go."""
-        for name in set(self._names(old)) - set(self._names(previous)):
-            self._files.delete(f"{self._pending}/{name}")
-        for path in (self._manifest(old), self._started(old), scratch):
-            self._files.delete(path)
+            done = [p for p, size in joined if everything or size >= self.min_size]
+            self._move(done, self.table, version, "j")
+            small, kept = [p for p, _ in joined if p not in set(done)], []
+
+        self._move(large, self.table, version, "a")
+        kept = kept + self._move(small, self._pending, version, "p")
+        self._files.write_text(self._manifest(version), "\n".join(kept))
+        self._forget(before, scratch)
+
+    def _forget(self, before, scratch):
+        """Remove what no replay can need: all manifests but the last before, and the files that it let go."""
+        for old in before[:-1]:
+            for name in set(self._names(old)) - set(self._names(before[-1])):
+                self._files.delete(f"{self._pending}/{name}")
+            for path in (self._manifest(old), f"{self.path}/started/v={old}"):
+                self._files.delete(path)
+        self._files.delete(scratch)
+
+    def _rows(self, paths):
+        return self._read(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def last_version(self):
+        return max(self._versions(), default=None)
 
     def published(self):
         """Rows of the published files."""
-        return self._read(self.table)
-
-    def pending(self, batch_id):
-        """Rows still waiting after a batch."""
-        names = self._names(batch_id)
-        if not names:
-            return self.spark.createDataFrame([], self.schema)
-        return self._read(*[f"{self._pending}/{name}" for name in names])
+        last = self.last_version()
+        names = [] if last is None else [n for n, _ in self._files.list(self.table) if int(n.split("-")[1]) <= last]
+        return self._rows([f"{self.table}/{name}" for name in names])
 
-    def last_batch(self):
-        numbers = [int(name.split("=")[1]) for name, _ in self._files.list(f"{self.path}/manifest")]
-        return max(numbers, default=None)
+    def pending(self):
+        """Rows still waiting after the last batch."""
+        return self._rows([f"{self._pending}/{name}" for name in self._names(self.last_version())])
 
     def rows(self):
         """Everything taken in so far: published and pending."""
-        last = self.last_batch()
-        return self.published() if last is None else self.published().unionByName(self.pending(last))
+        return self.published().unionByName(self.pending())

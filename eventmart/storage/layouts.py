@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from eventmart.schemas import EVENT_COLUMNS, EVENT_FILE_COLUMNS
+from eventmart.schemas import EVENT_COLUMNS, EVENT_FILE_COLUMNS, EVENT_FILE_SCHEMA
 
 
 def to_file_layout(events):
@@ -18,12 +18,8 @@ def from_file_layout(rows):
 
 def create_file_table(spark, table, location):
     """External Parquet event table over a folder."""
-    spark.sql(f"""
-        CREATE TABLE IF NOT EXISTS {table} (
-            account_id STRING, app_id STRING, event_id STRING, event_type STRING,
-            event_timestamp TIMESTAMP, purchase DOUBLE, payment_type STRING, session_id STRING,
-            latitude DOUBLE, longitude DOUBLE)
-        USING parquet LOCATION '{location}'""")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENT_FILE_SCHEMA)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{location}'")
     return spark.table(table)
 
 

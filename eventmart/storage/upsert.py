@@ -1,7 +1,7 @@
 """Keyed tables on plain files: every batch is a version, readers see the last version of a key.
 
-A batch is one run, `runs/first=N/upto=N`; a replayed batch overwrites its own run, so replays change
-nothing. Compaction folds neighbouring runs of like size into one, `runs/first=M/upto=N`. Sizes of the
+A batch is one run, `runs/first=N/upto=N`, N being its version (`files.version_of`): a
+replayed batch replaces its own run and nothing else, and a batch of a new owner comes after all before. Compaction folds neighbouring runs of like size into one, `runs/first=M/upto=N`. Sizes of the
 remaining runs grow geometrically: a row is rewritten a logarithmic number of times, and the large
 old run stays untouched until the newer ones weigh as much.
 """
@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.storage.files import Files
+from eventmart.storage.descriptor import describe
+from eventmart.storage.files import Files, version_of
 
 FIXED_WIDTH = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType, T.BooleanType)
 FOLD_RATIO = 2
@@ -40,7 +41,7 @@ class KeyedTable:
         self.spark, self.path, self.key = spark, path.rstrip("/"), list(key)
         self.schema, self.order = schema, list(order)
         self.one_row_per_batch = one_row_per_batch
-        self._files, self._written = Files(spark, path), False
+        self._files = Files(spark, path)
 
     def _run(self, first, upto):
         return f"{self.path}/runs/first={first}/upto={upto}"
@@ -68,55 +69,61 @@ class KeyedTable:
                 before = first
         return chosen[::-1]
 
-    def write(self, rows, batch_id):
-        """Store a batch. Writing the same batch again replaces it. A key without a value is an error,
-        and so is a first batch older than what is folded, as a new checkpoint over an old table gives.
+    def write(self, rows, batch_id, owner="batch"):
+        """Store a batch. The same batch of the same owner replaces what it stored. A key without a value
+        is an error, and so is a replay of a batch that has been folded.
         """
-        if not self._written and any(a < b and batch_id <= b for a, b in self._runs()):
-            raise ValueError(f"batch {batch_id} is already folded into {self.path}; use a new table")
-        self._written = True
+        version = version_of(self._files, self.path, owner, batch_id)
+        if any(a < b and a <= version <= b for a, b in self._runs()):
+            raise ValueError(f"batch {batch_id} of {owner} is already folded into {self.path}")
+        describe(self._files, self.path, kind="keyed", schema=self.schema.jsonValue(), key=self.key, order=self.order,
+                 one_row_per_batch=self.one_row_per_batch)
         complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key])
         no_value = F.raise_error(F.lit(f"null in key {self.key}")).cast("boolean")
         checked = rows.select(*self.schema.names).where(F.when(complete, F.lit(True)).otherwise(no_value))
-        self._save(checked, self._run(batch_id, batch_id))
+        self._save(checked.hint("rebalance"), self._run(version, version))
 
     def _read(self, runs):
         schema = T.StructType([*self.schema.fields, T.StructField("upto", T.LongType())])
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/runs")
         return reader.parquet(*[self._run(*run) for run in runs])
 
-    def _fold(self, runs):
-        """The last version of every key of these runs.
+    def _newest(self, runs):
+        """The last version of every key of runs that are not folded."""
+        unique = self.one_row_per_batch and not self.order
+        return latest_per_key(self._read(runs), self.key, ["upto", *self.order], unique).select(*self.schema.names)
 
-        A folded run has one row per key. So if the oldest one is folded, only the others are
-        aggregated, and its overtaken rows are removed by an anti join, for which Spark does not
-        shuffle the old run while the keys of the others are few.
-        """
-        names = self.schema.names
+    def _over(self, old, newest):
+        """A folded run with newer versions laid over it. The overtaken rows are removed by an anti join, for
+        which Spark does not shuffle the old run while the newer keys are few."""
+        old = self._read([old]).select(*self.schema.names)
+        return old.join(newest.select(*self.key), self.key, "left_anti").select(*self.schema.names).unionByName(newest)
+
+    def _fold(self, runs):
+        """The last version of every key of these runs. Only a run that is not folded is aggregated."""
         if not runs:
             return self.spark.createDataFrame([], self.schema)
-        folded = runs[0][0] < runs[0][1]
-        newer = runs[1:] if folded else runs
-        if newer:
-            ranking = ["upto", *self.order]
-            unique = self.one_row_per_batch and not self.order
-            newest = latest_per_key(self._read(newer), self.key, ranking, unique).select(*names)
-        if not folded:
-            return newest
-        old = self._read(runs[:1]).select(*names)
-        if not newer:
-            return old
-        return old.join(newest.select(*self.key), self.key, "left_anti").select(*names).unionByName(newest)
+        if runs[0][0] == runs[0][1]:
+            return self._newest(runs)
+        return self._over(runs[0], self._newest(runs[1:])) if runs[1:] else self._read(runs).select(*self.schema.names)
 
     def latest(self):
         """The last version of every key."""
         return self._fold(self._runs())
 
+    def compact_finished(self):
+        """`compact` without the newest run, whose batch may still be replayed; for a job beside the stream."""
+        runs = self._runs()
+        if len(runs) > 1:
+            self.compact(runs[-2][1])
+
     def compact(self, upto=None):
-        """Fold the newest runs up to a batch (default: all), as far back as the sizes suggest.
+        """Fold the newest runs up to a version (default: all), as far back as the sizes suggest.
 
-        A run is taken in while it is at most FOLD_RATIO times all newer ones together. Runs replaced by the
-        compaction before are removed now, so readers that started earlier keep their files.
+        A run is taken in while it is at most FOLD_RATIO times all newer ones together. The newer runs are read
+        once. The result is range-partitioned by the key, so that a file holds a narrow range of keys and a hot
+        key prefix spreads over files. Runs replaced by the compaction before are removed now, so readers that
+        started earlier keep their files.
         """
         runs = self._runs()
         for replaced in set(self._all_runs()) - set(runs):
@@ -133,6 +140,12 @@ class KeyedTable:
             taken.append(run)
             total += size
         if len(taken) > 1:
-            target = self._run(taken[-1][0], taken[0][1])
-            folded = self._fold(taken[::-1]).sortWithinPartitions(*self.key)  # narrow min/max per row group
-            self._save(folded, target)
+            taken, scratch = taken[::-1], f"{self.path}/scratch/{taken[0][1]}"
+            folded = taken[0][0] < taken[0][1]
+            # keys and rows of the newer runs are both taken from here
+            self._newest(taken[1:] if folded else taken).write.mode("overwrite").parquet(scratch)
+            rows = self.spark.read.schema(self.schema).parquet(scratch)
+            if folded:
+                rows = self._over(taken[0], rows)
+            self._save(rows.repartitionByRange(*self.key).sortWithinPartitions(*self.key), self._run(taken[0][0], taken[-1][1]))
+            self._files.delete(scratch)

@@ -2,9 +2,17 @@
 
 Marts are running totals that never expire: there is no watermark, so an event arrives late at no
 cost but its state. Totals survive a restart through the checkpoint, and every sink is keyed by
-batch or by record, so that a replayed batch changes nothing.
+batch or by record, so that a replayed batch changes nothing. Tables know batches by the query's id in its
+checkpoint as well as by number, so a new checkpoint over an old table adds to it.
+
+`seconds` None works off what is there and stops. `state_partitions` is the number of state partitions of a new
+query, which it keeps for good; None leaves it to `spark.sql.shuffle.partitions`. Compaction is a job of its own
+(`KeyedTable.compact_finished`) beside a running stream; `compact_every` does it inside the stream instead.
 """
 
+import json
+import time
+
 from pyspark.sql import types as T
 
 from eventmart.functions.documents import event_documents
@@ -18,6 +26,7 @@ from eventmart.session import STATE_STORE, session_conf
 from eventmart.sources.streams import event_stream
 from eventmart.storage.compaction import CompactingTable
 from eventmart.storage.documents import index_documents
+from eventmart.storage.files import Files
 from eventmart.storage.layouts import table_schema, to_file_layout
 from eventmart.storage.upsert import KeyedTable
 
@@ -53,30 +62,28 @@ def document_table(spark, path):
 
 
 def _into(table, compact_every):
-    def sink(rows, batch_id):
-        table.write(rows, batch_id)
+    def sink(rows, batch_id, owner):
+        table.write(rows, batch_id, owner)
         if compact_every and batch_id and batch_id % compact_every == 0:
-            table.compact(batch_id - 1)  # the current batch may still be replayed
+            table.compact_finished()  # the current batch may still be replayed
     return sink
 
 
-def _start(rows, sink, checkpoint, seconds, mode):
-    """`seconds` None works off what is there and stops; otherwise the interval between batches.
+def query_id(spark, checkpoint):
+    """The id that a checkpoint gives its query for good."""
+    return json.loads(Files(spark, checkpoint).read_text(f"{checkpoint}/metadata"))["id"]
 
-    A new query keeps its number of state partitions for good: the session's shuffle partitions where
-    they are set, otherwise one per core.
-    """
+
+def _start(rows, sink, checkpoint, seconds, mode, state_partitions=None):
+    spark = rows.sparkSession
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
-    spark = rows.sparkSession
-    settings = dict(STATE_STORE)
-    if spark.conf.get(PARTITIONS, None) is None:
-        settings[PARTITIONS] = str(spark.sparkContext.defaultParallelism)
+    settings = {**STATE_STORE, **({PARTITIONS: str(state_partitions)} if state_partitions else {})}
     with session_conf(spark, settings):
-        return writer.foreachBatch(sink).trigger(**trigger).start()
+        return writer.foreachBatch(lambda batch, n: sink(batch, n, query_id(spark, checkpoint))).trigger(**trigger).start()
 
 
-def run_keyed(records, events_path, marts_path, checkpoint, seconds=None, compact_every=100):
+def run_keyed(records, events_path, marts_path, checkpoint, seconds=None, compact_every=0, state_partitions=None):
     """Events and running marts into keyed tables: two queries over one source."""
     spark = records.sparkSession
     events = event_stream(records, keep_offset=True)
@@ -85,18 +92,18 @@ def run_keyed(records, events_path, marts_path, checkpoint, seconds=None, compac
         _start(events, _into(event_table(spark, events_path), compact_every),
                f"{checkpoint}/events", seconds, "append"),
         _start(marts, _into(mart_table(spark, marts_path), compact_every),
-               f"{checkpoint}/marts", seconds, "update"),
+               f"{checkpoint}/marts", seconds, "update", state_partitions),
     ]
 
 
-def run_marts(records, marts_path, checkpoint, seconds=None, compact_every=100):
+def run_marts(records, marts_path, checkpoint, seconds=None, compact_every=0, state_partitions=None):
     """Only the running marts."""
     marts = account_mart(event_stream(records))
     sink = _into(mart_table(records.sparkSession, marts_path), compact_every)
-    return _start(marts, sink, f"{checkpoint}/marts", seconds, "update")
+    return _start(marts, sink, f"{checkpoint}/marts", seconds, "update", state_partitions)
 
 
-def run_wide(records, events_path, marts_path, num_salts, checkpoint, seconds=None, compact_every=100):
+def run_wide(records, events_path, marts_path, num_salts, checkpoint, seconds=None, compact_every=0, state_partitions=None):
     """Events and running marts as salted wide rows, in two tables."""
     spark = records.sparkSession
     events = encode_events(event_stream(records, keep_offset=True), num_salts, ["offset"])
@@ -105,7 +112,7 @@ def run_wide(records, events_path, marts_path, num_salts, checkpoint, seconds=No
         _start(events, _into(event_wide_table(spark, events_path), compact_every),
                f"{checkpoint}/events", seconds, "append"),
         _start(marts, _into(mart_wide_table(spark, marts_path), compact_every),
-               f"{checkpoint}/marts", seconds, "update"),
+               f"{checkpoint}/marts", seconds, "update", state_partitions),
     ]
 
 
@@ -123,14 +130,14 @@ def run_files(records, path, min_file_size, checkpoint, seconds=None, table=None
 
 
 def run_docs(records, checkpoint, send=None, table_path=None, batch_size=100, retry_wait=2.0, seconds=None,
-             compact_every=100):
+             compact_every=0):
     """Events as search documents, to an index through `send` or into a table keyed by id."""
     if (send is None) == (table_path is None):
         raise ValueError("give either send or table_path")
     if send is not None:
         documents = event_documents(event_stream(records))
 
-        def sink(rows, batch_id):
+        def sink(rows, batch_id, owner):
             index_documents(rows, send, batch_size, retry_wait=retry_wait)
     else:
         events = event_stream(records, keep_offset=True)
@@ -139,9 +146,19 @@ def run_docs(records, checkpoint, send=None, table_path=None, batch_size=100, re
     return _start(documents, sink, f"{checkpoint}/docs", seconds, "append")
 
 
-def finish(queries, timeout=3600):
-    """Wait for bounded queries; a query still running after `timeout` seconds is an error."""
-    for query in queries if isinstance(queries, list) else [queries]:
-        if not query.awaitTermination(timeout):
-            query.stop()
-            raise TimeoutError(f"query {query.id} did not finish within {timeout} seconds")
+def finish(queries, timeout=None):
+    """Wait for bounded queries, however long they take. When one fails, or after `timeout` seconds where that is
+    given, all queries of the job are stopped and the error is raised.
+    """
+    queries = queries if isinstance(queries, list) else [queries]
+    deadline = None if timeout is None else time.monotonic() + timeout
+    try:
+        running = list(queries)
+        while running:
+            running = [q for q in running if not q.awaitTermination(1)]
+            if running and deadline is not None and time.monotonic() > deadline:
+                raise TimeoutError(f"query {running[0].id} did not finish within {timeout} seconds")
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()

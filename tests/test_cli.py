@@ -66,6 +66,49 @@ def test_stream(spark, tmp_path):
     assert jobs.document_table(spark, f"{tmp_path}/d").latest().count() == 3
 
 
+def test_jobs_over_streamed_tables(spark, tmp_path, capsys):
+    """Two deliveries; every job sees one version of a mart or event."""
+    at = str(tmp_path)
+    for i in range(2):
+        lines = [("k", ",".join(map(str, event(account=a, event_id=str(i), kind="win", purchase=1.0)))) for a in "ab"]
+        spark.createDataFrame(lines, "key string, value string").write.mode("append").parquet(f"{at}/topic")
+        for job, paths in (("stream-keyed", ["--events", f"{at}/e", "--marts", f"{at}/m"]), ("stream-wide", ["--events", f"{at}/we", "--marts", f"{at}/wm", "--salts", "6"]),
+                           ("stream-files", ["--path", f"{at}/f", "--min-file-size", "1000000"])):
+            main([job, "--input", f"{at}/topic", "--checkpoint", f"{at}/c-{job}", "--state-partitions", "2", *paths])
+    for marts in ("m", "wm"):
+        main(["wins", "--marts", f"{at}/{marts}"])
+        assert "|a         |2        |" in capsys.readouterr().out
+    for events in ("e", "we", "f"):
+        main(["purchases", "--events", f"{at}/{events}"])
+        assert "|a         |2.0     |" in capsys.readouterr().out
+    main(["compact", "--path", f"{at}/m"])
+    main(["compact", "--path", f"{at}/f"])
+    assert spark.read.parquet(f"{at}/f/table").count() == 4
+    main(["lookup-marts", "--marts", f"{at}/m", "--account", "a"])
+    main(["lookup-mart-by-key", "--path", f"{at}/wm", "--account", "a", "--app", "x", "--salts", "6"])
+    assert [json.loads(l)["win_count"] for l in capsys.readouterr().out.splitlines()] == [2, 2]
+    main(["create-salted", "--events", f"{at}/e", "--path", f"{at}/s", "--salts", "6", "--regions", "3"])
+    main(["lookup-events-by-key", "--path", f"{at}/s", "--account", "b", "--app", "x", "--salts", "6"])
+    assert [json.loads(l)["event_id"] for l in capsys.readouterr().out.splitlines()] == ["0", "1"]
+    main(["copy-table", "--source", f"{at}/m", "--target", "copied_marts", "--path", f"{at}/copy"])
+    main(["create-table", "--table", "bucketed_marts", "--marts", f"{at}/m", "--buckets", "4", "--path", f"{at}/b"])
+    main(["create-table", "--table", "event_files", "--files", f"{at}/f/table"])
+    try:
+        assert spark.table("copied_marts").count() == spark.table("bucketed_marts").count() == 2
+        assert spark.table("event_files").count() == 4
+    finally:
+        for table in ("copied_marts", "bucketed_marts", "event_files"):
+            main(["drop-table", "--table", table])
+    assert not spark.catalog.tableExists("event_files")
+
+
+def test_versions_are_never_read_raw(spark, tmp_path):
+    from eventmart.sources.open import open_table
+    spark.range(1).write.parquet(f"{tmp_path}/x/runs/first=0/upto=0")
+    with pytest.raises(ValueError, match="versions"):
+        open_table(spark, f"{tmp_path}/x")
+
+
 def test_arguments():
     args = parser().parse_args(["publish-lines", "--path", "p", "--brokers", "b", "--topic", "t", "--linger-ms", "5"])
     assert (args.acks, args.linger_ms, args.batch_size) == (1, 5, None)

@@ -180,3 +180,21 @@ def test_functions_run_where_the_package_is_missing(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert done.stdout.strip() == "[99162322, None]", done.stderr
+
+
+def test_a_missing_key_part_is_an_error(spark, make_events):
+    from eventmart.functions.documents import event_documents
+    from eventmart.functions.wide_rows import encode_events
+    rows = make_events({"app": None})
+    with pytest.raises(Exception, match="null in a key part"):
+        encode_events(rows, 6).collect()
+    with pytest.raises(Exception, match="null in a key part"):
+        event_documents(make_events({"event_id": None})).collect()
+
+
+def test_whole_numbers_have_no_blanks(spark):
+    from eventmart.functions.csv_text import parse_events_outcomes
+    line = "a,x,{},1,win,{},credit,s,1.0,2.0"
+    lines = [line.format("12", "1.0"), line.format(" 12 ", "1.0"), line.format("12", " 1.0 ")]
+    found = parse_events_outcomes(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert {r.value: r.outcome for r in found} == dict(zip(lines, ["event", "reject", "event"]))

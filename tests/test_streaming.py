@@ -82,6 +82,34 @@ def test_keyed_job_equals_batch(spark, folder, full_topic, make_events):
     assert (0, 1) in jobs.mart_table(spark, f"{folder}/m")._all_runs()
 
 
+def test_a_second_checkpoint_adds_to_the_tables(spark, folder, topic, make_events):
+    """Its batches are numbered from 0 again; nothing stored before is lost, whatever the kind of table."""
+    topic.send_events([dict(account="a", event_id="1"), dict(account="b", event_id="2")])
+    for checkpoint in ("c1", "c2"):
+        jobs.finish(jobs.run_keyed(topic.records(), f"{folder}/e", f"{folder}/m", f"{folder}/{checkpoint}"))
+        jobs.finish(jobs.run_files(topic.records(), f"{folder}/f", 1, f"{folder}/{checkpoint}"))
+        if checkpoint == "c1":
+            os.rename(f"{topic.path}/0000.parquet", f"{folder}/gone")
+            topic.send_events([dict(account="a", event_id="1", purchase=3.0), dict(account="c", event_id="3")])
+    events = jobs.event_table(spark, f"{folder}/e").latest()
+    assert sorted((r.event_id, r.purchase) for r in events.collect()) == [("1", 3.0), ("2", 0.0), ("3", 0.0)]
+    assert CompactingTable(spark, f"{folder}/f", EVENT_FILE_SCHEMA, 1).rows().count() == 4
+
+
+def test_a_failing_query_stops_its_sister(folder, topic):
+    topic.send(["a,x,1"])
+    queries = jobs.run_keyed(topic.records(), f"{folder}/e", f"{folder}/m", f"{folder}/c", seconds=1)
+    with pytest.raises(StreamingQueryException):
+        jobs.finish(queries)
+    assert not any(q.isActive for q in queries)
+
+
+def test_state_partitions_are_an_argument(spark, folder, topic):
+    topic.send_events([dict(account="a", event_id="1")])
+    jobs.finish(jobs.run_marts(topic.records(), f"{folder}/m", f"{folder}/c", state_partitions=2))
+    assert sorted(n for n in os.listdir(f"{folder}/c/marts/state/0") if n.isdigit()) == ["0", "1"]
+
+
 def test_totals_continue_after_a_restart_and_idle_keys_stay(spark, folder, topic):
     def run():
         query = jobs.run_marts(topic.records(), f"{folder}/m", f"{folder}/c")
@@ -108,7 +136,7 @@ def test_wide_job(spark, folder, full_topic, make_events):
 def test_file_job(spark, folder, full_topic, make_events):
     jobs.finish(jobs.run_files(full_topic.records(), f"{folder}/f", 100_000, f"{folder}/c"))
     table = CompactingTable(spark, f"{folder}/f", EVENT_FILE_SCHEMA, 100_000)
-    assert table.last_batch() == 3 and table.pending(3).count() == len(all_rows())
+    assert table.last_version() == 3 and table.pending().count() == len(all_rows())
     assert rows_of(from_file_layout(table.rows())) == rows_of(make_events(*all_rows()))
 
 
