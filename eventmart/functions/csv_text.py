@@ -75,15 +75,15 @@ def parse_marts_quarantine(lines, column="value", carry=()):
     return _quarantine(lines, MART_SCHEMA, column, list(carry))
 
 
-def _line(columns):
-    return F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
+def _line(columns, cells):
+    return F.concat_ws(",", *[F.coalesce(cells.get(c, F.col(c)).cast("string"), F.lit("null")) for c in columns])
 
 
-def event_line():
-    """An event as one CSV line."""
-    return _line(EVENT_COLUMNS)
+def event_line(cells=None):
+    """An event as one CSV line. `cells` replaces the text of columns."""
+    return _line(EVENT_COLUMNS, cells or {})
 
 
 def mart_line():
     """A mart as one CSV line."""
-    return _line(MART_COLUMNS)
+    return _line(MART_COLUMNS, {})

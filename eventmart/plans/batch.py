@@ -3,19 +3,20 @@
 from pyspark.sql import functions as F
 
 from eventmart.functions.csv_text import (
-    event_line, mart_line, parse_events, parse_events_quarantine, parse_marts,
+    event_line, mart_line, parse_events, parse_events_outcomes, parse_marts,
 )
 from eventmart.functions.documents import as_json, dynamic_fields, event_documents
 from eventmart.functions.hashing import java_string_hash_text
 from eventmart.functions.wide_rows import (
     decode_events, decode_marts, encode_events, encode_marts, event_row_key, mart_row_key, salt,
 )
-from eventmart.operators import lookups, mart, publish, stats, sums
+from eventmart.operators import mart, publish, stats, sums
 from eventmart.plans import oracle
 from eventmart.plans.registry import query
-from eventmart.schemas import EVENT_COLUMNS, MART_KEY, MART_TOTALS
+from eventmart.schemas import BUY, CREDIT, DEBIT, EVENT_COLUMNS, MART_KEY, MART_TOTALS, PAYPAL
+from eventmart.session import work_dir
 from eventmart.sources.adapter import app_events, document_lines
-from eventmart.sources.tables import events_by_name
+from eventmart.sources.tables import events_by_name, marts_by_name, scan_table
 from eventmart.storage.layouts import to_file_layout
 from eventmart.storage.salted import salt_region_counts
 
@@ -47,7 +48,18 @@ def account_mart(spark, sf_dir):
 
 @query("scan_event_table", oracle.with_events("SELECT * FROM app_event"))
 def scan_event_table(spark, sf_dir):
-    return events_by_name(app_events(spark, sf_dir))
+    """The events stored with their columns turned round, scanned into a view."""
+    path = work_dir(spark, "scan")
+    app_events(spark, sf_dir).select(*reversed(EVENT_COLUMNS)).write.parquet(path)
+    return events_by_name(scan_table(spark, path, view="scanned_events"))
+
+
+@query("scan_mart_table", oracle.with_marts("SELECT * FROM mart"))
+def scan_mart_table(spark, sf_dir):
+    path = work_dir(spark, "scan")
+    marts = rounded_marts(spark, sf_dir)
+    marts.select(*reversed(marts.columns)).write.parquet(path)
+    return marts_by_name(scan_table(spark, path))
 
 
 @query("event_file_layout", oracle.with_events(
@@ -62,10 +74,11 @@ def event_to_mart_delta(spark, sf_dir):
     return mart.event_deltas(app_events(spark, sf_dir))
 
 
-@query("mart_merge", oracle.with_events("SELECT * FROM mart", oracle.DELTAS, oracle.marts(factor=2)))
+@query("mart_merge", oracle.with_marts("SELECT * FROM mart"))
 def mart_merge(spark, sf_dir):
-    marts = marts_of(spark, sf_dir)
-    return cents(mart.merge_marts(marts, marts))
+    """The marts of three kinds of payment, whose keys differ, merged."""
+    events = app_events(spark, sf_dir)
+    return cents(mart.merge_marts(*[mart.account_mart(events.where(F.col("payment_type") == p)) for p in (CREDIT, DEBIT, PAYPAL)]))
 
 
 @query("pending_union_new", oracle.with_events("SELECT * FROM app_event UNION ALL SELECT * FROM app_event"))
@@ -128,18 +141,23 @@ def line_publish_records(spark, sf_dir):
     return publish.line_records(document_lines(spark, sf_dir))
 
 
+BLANK_LINE_SQL = EVENT_LINE_SQL.replace("event_timestamp", "' ' || event_timestamp")
+
+
 @query("event_csv_quarantine", oracle.with_events(f"""
-    SELECT line AS value, CASE WHEN len(cells) >= 10 AND TRY_CAST(cells[3] AS BIGINT) IS NOT NULL
+    SELECT line AS value, CASE WHEN len(cells) >= 10 AND TRY_CAST(cells[3] AS BIGINT) IS NOT NULL AND NOT regexp_matches(cells[3], '\\s')
         AND TRY_CAST(cells[6] AS DOUBLE) IS NOT NULL AND TRY_CAST(cells[9] AS DOUBLE) IS NOT NULL
         AND TRY_CAST(cells[10] AS DOUBLE) IS NOT NULL THEN 'event' ELSE 'reject' END AS outcome
     FROM (SELECT line, string_split(line, ',') AS cells
-          FROM (SELECT {EVENT_LINE_SQL} AS line FROM app_event UNION ALL SELECT line FROM lines))""", LINES))
+          FROM (SELECT {EVENT_LINE_SQL} AS line FROM app_event UNION ALL SELECT line FROM lines
+                UNION ALL SELECT {BLANK_LINE_SQL} FROM app_event WHERE event_type = 'buy'))""", LINES))
 def event_csv_quarantine(spark, sf_dir):
-    """Event lines mixed with the lines of all documents, told apart again."""
-    lines = app_events(spark, sf_dir).select(event_line().alias("value"))
-    good, rejects = parse_events_quarantine(lines.unionByName(document_lines(spark, sf_dir)))
-    accepted = good.select(event_line().alias("value"), F.lit("event").alias("outcome"))
-    return accepted.unionByName(rejects.withColumn("outcome", F.lit("reject")))
+    """Event lines mixed with the lines of all documents and with lines whose whole numbers have blanks."""
+    events = app_events(spark, sf_dir)
+    blank = events.where(F.col("event_type") == BUY).select(
+        event_line({"event_timestamp": F.concat(F.lit(" "), F.col("event_timestamp").cast("string"))}).alias("value"))
+    lines = events.select(event_line().alias("value")).unionByName(document_lines(spark, sf_dir)).unionByName(blank)
+    return parse_events_outcomes(lines).select("value", "outcome")
 
 
 @query("java_string_hash", f"SELECT doc_id, {oracle.hash_sql('text')} AS hash FROM documents")
@@ -203,46 +221,6 @@ def salt_region_counts_query(spark, sf_dir):
     return salt_region_counts(event_wide_cells(spark, sf_dir), NUM_SALTS, REGIONS)
 
 
-# --- lookups ---------------------------------------------------------------------------------------
-
-@query("lookup_mart", oracle.with_marts(
-    f"SELECT * FROM mart WHERE account_id = '{ACCOUNT}' AND app_id = '{APP}'"))
-def lookup_mart(spark, sf_dir):
-    return cents(lookups.mart_of(marts_of(spark, sf_dir, ACCOUNT), ACCOUNT, APP))
-
-
-@query("lookup_marts_of_account", oracle.with_marts(f"SELECT * FROM mart WHERE account_id = '{ACCOUNT}'"))
-def lookup_marts_of_account(spark, sf_dir):
-    return cents(lookups.marts_of_account(marts_of(spark, sf_dir, ACCOUNT), ACCOUNT))
-
-
-@query("events_of_account", oracle.with_events(f"SELECT * FROM app_event WHERE account_id = '{ACCOUNT}'"))
-def events_of_account(spark, sf_dir):
-    return lookups.events_of_account(app_events(spark, sf_dir, ACCOUNT), ACCOUNT)
-
-
-@query("events_between_open", oracle.with_events(f"""SELECT * FROM app_event
-    WHERE account_id = '{ACCOUNT}' AND event_timestamp > {START} AND event_timestamp < {END}"""))
-def events_between_open(spark, sf_dir):
-    return lookups.events_between(app_events(spark, sf_dir, ACCOUNT, START, END), ACCOUNT, START, END)
-
-
-@query("events_key_range", oracle.with_events(f"""SELECT * FROM app_event
-    WHERE account_id = '{ACCOUNT}' AND app_id = '{APP}'
-      AND event_timestamp >= {START} AND event_timestamp < {END}
-    ORDER BY event_timestamp, event_type, event_id"""))
-def events_key_range(spark, sf_dir):
-    rows = encode_events(app_events(spark, sf_dir, ACCOUNT, START, END), NUM_SALTS)
-    return lookups.events_in_range(rows, ACCOUNT, APP, NUM_SALTS, START, END)
-
-
-@query("lookup_mart_by_row_key", oracle.with_marts(
-    f"SELECT * FROM mart WHERE account_id = '{ACCOUNT}' AND app_id = '{APP}'"))
-def lookup_mart_by_row_key(spark, sf_dir):
-    rows = encode_marts(cents(marts_of(spark, sf_dir, ACCOUNT)), NUM_SALTS)
-    return lookups.mart_by_row_key(rows, ACCOUNT, APP, NUM_SALTS)
-
-
 # --- documents -------------------------------------------------------------------------------------
 
 DOCUMENTS_SQL = """SELECT event_type || ':' || event_id AS id, account_id, app_id,

@@ -4,19 +4,28 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from eventmart.functions.wide_rows import encode_events
+from eventmart.functions.documents import event_documents
+from eventmart.functions.wide_rows import encode_events, encode_marts
+from eventmart.operators import lookups, publish
 from eventmart.operators.mart import account_mart
 from eventmart.operators.sums import wins_per_account
 from eventmart.plans import oracle
-from eventmart.plans.batch import EVENT_CELLS_SQL, NUM_SALTS, REGIONS, WINS, cents, rounded_marts
+from eventmart.plans.batch import (
+    ACCOUNT, APP, END, EVENT_CELLS_SQL, LINES, NUM_SALTS, REGIONS, START, WINS, cents, rounded_marts,
+)
 from eventmart.plans.registry import query
 from eventmart.schemas import (
-    BUY, CREDIT, EVENT_COLUMNS, EVENT_KEY, EVENT_SCHEMA, EVENT_WIDE_SCHEMA, MART_KEY, MART_SCHEMA, PAYPAL,
+    BUY, CREDIT, EVENT_COLUMNS, EVENT_KEY, EVENT_SCHEMA, EVENT_WIDE_SCHEMA, MART_KEY, MART_SCHEMA, MART_WIDE_SCHEMA,
+    PAYPAL,
 )
 from eventmart.session import work_dir
-from eventmart.sources.adapter import app_events
+from eventmart.sources.adapter import app_events, document_lines
+from eventmart.sources.open import open_events, open_marts
+from eventmart.sources.tables import text_lines
 from eventmart.storage.compaction import CompactingTable
-from eventmart.storage.layouts import copy_table, scan_unbucketed, write_keyed
+from eventmart.storage.documents import index_documents
+from eventmart.storage.files import Files
+from eventmart.storage.layouts import copy_table, write_keyed
 from eventmart.storage.salted import read_salted, write_salted
 from eventmart.storage.upsert import KeyedTable
 
@@ -65,15 +74,139 @@ def mart_table_copy(spark, sf_dir):
 def keyed_table_wins(spark, sf_dir):
     """Marts hashed into buckets by account, then summed per account."""
     name = f"account_mart_{uuid.uuid4().hex}"
-    write_keyed(rounded_marts(spark, sf_dir), name, path=work_dir(spark, "mart-keyed"))
-    return wins_per_account(scan_unbucketed(spark, name))
+    return wins_per_account(write_keyed(rounded_marts(spark, sf_dir), name, buckets=8, path=work_dir(spark, "mart-keyed")))
 
 
-@query("compaction_conservation", oracle.with_events("SELECT * FROM app_event UNION ALL SELECT * FROM app_event"))
-def compaction_conservation(spark, sf_dir):
-    """Two batches through the compacting sink; published and pending rows together."""
-    table = CompactingTable(spark, work_dir(spark, "compaction"), EVENT_SCHEMA, min_size=128 << 20)
+def _sink_of_two_sizes(spark, sf_dir):
+    """The events in a large batch and one row per account in a small one, through a sink whose minimum lies between."""
     events = app_events(spark, sf_dir)
+    path = work_dir(spark, "compaction")
+    events.write.parquet(f"{path}/sizing")
+    smallest = min(size for _, size in Files(spark, path).list(f"{path}/sizing") if size)
+    table = CompactingTable(spark, f"{path}/table", EVENT_SCHEMA, min_size=max(1, smallest // 2))
     table.add(events, 0)
-    table.add(events, 1)
-    return table.rows().select(*EVENT_COLUMNS)
+    table.add(_few(events), 1)
+    return table
+
+
+def _few(events):
+    return events.where(F.col("event_id").cast("long") < 3).coalesce(1)
+
+
+TWO_SIZES = "SELECT * FROM app_event UNION ALL SELECT * FROM app_event WHERE CAST(event_id AS BIGINT) < 3"
+
+
+@query("compaction_conservation", oracle.with_events(TWO_SIZES))
+def compaction_conservation(spark, sf_dir):
+    return _sink_of_two_sizes(spark, sf_dir).rows().select(*EVENT_COLUMNS)
+
+
+@query("compaction_sides", oracle.with_events("""
+    SELECT 'published' AS side, count(*) AS rows FROM app_event
+    UNION ALL SELECT 'pending', count(*) FROM app_event WHERE CAST(event_id AS BIGINT) < 3"""))
+def compaction_sides(spark, sf_dir):
+    """How many rows are published and how many still wait."""
+    table = _sink_of_two_sizes(spark, sf_dir)
+    sides = {"published": table.published(), "pending": table.pending()}
+    counted = [rows.agg(F.count("*").alias("rows")).select(F.lit(side).alias("side"), "rows") for side, rows in sides.items()]
+    return counted[0].unionByName(counted[1])
+
+
+def _stored_marts(spark, sf_dir):
+    """The marts in a compacted keyed table, written in two versions."""
+    table = KeyedTable(spark, work_dir(spark, "stored-marts"), MART_SCHEMA, MART_KEY, one_row_per_batch=True)
+    marts = rounded_marts(spark, sf_dir)
+    table.write(marts.withColumn("win_count", F.lit(0).cast("long")), 0)
+    table.write(marts, 1)
+    table.compact()
+    return open_marts(spark, table.path)
+
+
+def _stored_events(spark, sf_dir):
+    """The events in a table bucketed by account."""
+    name = f"app_event_{uuid.uuid4().hex}"
+    return write_keyed(app_events(spark, sf_dir), name, buckets=8, path=work_dir(spark, "stored-events"))
+
+
+def _stored_wide(spark, rows, schema):
+    path = work_dir(spark, "stored-wide")
+    write_salted(rows, path, NUM_SALTS, REGIONS, unique=True)
+    return read_salted(spark, path, schema)
+
+
+@query("lookup_mart", oracle.with_marts(f"SELECT * FROM mart WHERE account_id = '{ACCOUNT}' AND app_id = '{APP}'"))
+def lookup_mart(spark, sf_dir):
+    return lookups.mart_of(_stored_marts(spark, sf_dir), ACCOUNT, APP)
+
+
+@query("lookup_marts_of_account", oracle.with_marts(f"SELECT * FROM mart WHERE account_id = '{ACCOUNT}'"))
+def lookup_marts_of_account(spark, sf_dir):
+    return lookups.marts_of_account(_stored_marts(spark, sf_dir), ACCOUNT)
+
+
+@query("events_of_account", oracle.with_events(f"SELECT * FROM app_event WHERE account_id = '{ACCOUNT}'"))
+def events_of_account(spark, sf_dir):
+    """From a bucketed table: one bucket is opened."""
+    return lookups.events_of_account(_stored_events(spark, sf_dir), ACCOUNT)
+
+
+@query("events_between_open", oracle.with_events(f"""SELECT * FROM app_event
+    WHERE account_id = '{ACCOUNT}' AND event_timestamp > {START} AND event_timestamp < {END}"""))
+def events_between_open(spark, sf_dir):
+    return lookups.events_between(_stored_events(spark, sf_dir), ACCOUNT, START, END)
+
+
+@query("keyed_event_lookup", oracle.with_events(f"""
+    SELECT * REPLACE (CASE WHEN event_type = 'buy' THEN purchase + 1 ELSE purchase END AS purchase) FROM app_event
+    WHERE account_id = '{ACCOUNT}' AND event_timestamp > {START} AND event_timestamp < {END}"""))
+def keyed_event_lookup(spark, sf_dir):
+    """From a keyed table with a correction of every purchase."""
+    table = KeyedTable(spark, work_dir(spark, "keyed-events"), EVENT_SCHEMA, EVENT_KEY)
+    events = app_events(spark, sf_dir)
+    table.write(events, 0)
+    table.write(events.where(F.col("event_type") == BUY).withColumn("purchase", F.col("purchase") + 1), 1)
+    return lookups.events_between(open_events(spark, table.path), ACCOUNT, START, END)
+
+
+@query("events_key_range", oracle.with_events(f"""SELECT * FROM app_event
+    WHERE account_id = '{ACCOUNT}' AND app_id = '{APP}'
+      AND event_timestamp >= {START} AND event_timestamp < {END}
+    ORDER BY event_timestamp, event_type, event_id"""))
+def events_key_range(spark, sf_dir):
+    """From a salted table: one salt's folder is opened."""
+    rows = _stored_wide(spark, encode_events(app_events(spark, sf_dir), NUM_SALTS), EVENT_WIDE_SCHEMA)
+    return lookups.events_in_range(rows, ACCOUNT, APP, NUM_SALTS, START, END)
+
+
+@query("lookup_mart_by_row_key", oracle.with_marts(f"SELECT * FROM mart WHERE account_id = '{ACCOUNT}' AND app_id = '{APP}'"))
+def lookup_mart_by_row_key(spark, sf_dir):
+    rows = _stored_wide(spark, encode_marts(rounded_marts(spark, sf_dir), NUM_SALTS), MART_WIDE_SCHEMA)
+    return lookups.mart_by_row_key(rows, ACCOUNT, APP, NUM_SALTS)
+
+
+@query("text_folder_records", f"""WITH {LINES}
+    SELECT CAST({oracle.hash_sql('line')} AS VARCHAR) AS key, line AS value FROM lines
+    WHERE NOT starts_with(line, 'vendor_name')
+      AND length(line) + length(regexp_replace(line, '[\\x{{0}}-\\x{{FFFF}}]', '', 'g')) >= 10""")
+def text_folder_records(spark, sf_dir):
+    """Lines written as text files and read from their folder."""
+    path = work_dir(spark, "lines")
+    document_lines(spark, sf_dir).write.text(path)
+    return publish.line_records(text_lines(spark, path))
+
+
+@query("indexed_documents", oracle.with_events("""
+    SELECT CAST(count(*) AS BIGINT) AS documents, true AS batches_hold_100_at_most FROM app_event"""))
+def indexed_documents(spark, sf_dir):
+    """Documents handed to the sender of the document sink, counted by it through an accumulator."""
+    largest = spark.sparkContext.accumulator(0)
+    sent = spark.sparkContext.accumulator(0)
+
+    def send(batch):
+        sent.add(len(batch))
+        if len(batch) > 100:
+            largest.add(1)
+        return "sent"
+
+    index_documents(event_documents(app_events(spark, sf_dir)), send, batch_size=100)
+    return spark.createDataFrame([(sent.value, largest.value == 0)], "documents long, batches_hold_100_at_most boolean")

@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from eventmart.operators import learning, stats
 from eventmart.plans import oracle
-from eventmart.plans.batch import marts_of
+from eventmart.plans.batch import rounded_marts
 from eventmart.plans.registry import query
+from eventmart.schemas import FEATURES
+from eventmart.session import work_dir
 from eventmart.sources.adapter import app_events
 
 CLUSTERS, ITERATIONS = 4, 20
@@ -15,19 +17,52 @@ FRACTIONS = {"buy": 0.5, "login": 0.25, "win": 0.1, "lose": 0.1, "logout": 0.1}
 BUCKET = "CAST('0x' || md5(event_id)[1:8] AS BIGINT) % 10000"
 
 
+def _clustered(spark, sf_dir):
+    """(model, feature rows) with the features stored, so that fitting and assigning read the same numbers once."""
+    path = work_dir(spark, "features")
+    stats.features(rounded_marts(spark, sf_dir)).write.parquet(path)
+    rows = spark.read.parquet(path)
+    return learning.fit_kmeans(rows, CLUSTERS, ITERATIONS), rows
+
+
 @query("mart_kmeans_centers")
 def mart_kmeans_centers(spark, sf_dir):
-    model = learning.fit_kmeans(stats.features(marts_of(spark, sf_dir)), CLUSTERS, ITERATIONS)
-    return learning.kmeans_centers(spark, model)
+    return learning.kmeans_centers(spark, _clustered(spark, sf_dir)[0])
 
 
 @query("mart_kmeans_assignments")
 def mart_kmeans_assignments(spark, sf_dir):
-    rows = stats.features(marts_of(spark, sf_dir))
-    model = learning.fit_kmeans(rows, CLUSTERS, ITERATIONS)
+    model, rows = _clustered(spark, sf_dir)
     return learning.kmeans_assignments(model, rows).select("account_id", "app_id", "cluster")
 
 
+SPREAD = " + ".join(f"var_pop({f}) * count(*)" for f in FEATURES)
+
+
+@query("mart_kmeans_invariants", oracle.with_marts(f"""
+    SELECT {CLUSTERS} AS clusters, count(*) AS marts, count(*) AS in_clusters, CAST(0 AS BIGINT) AS not_nearest,
+      CAST(round({SPREAD}, 0) AS BIGINT) AS spread, true AS tighter FROM mart"""))
+def mart_kmeans_invariants(spark, sf_dir):
+    """What holds for any k-means: every mart is in the cluster of its nearest center, and the clusters are tighter
+    than all marts around their mean."""
+    model, rows = _clustered(spark, sf_dir)
+    centers = learning.kmeans_centers(spark, model)
+
+    def distance(center):
+        return sum((F.col(f) - F.lit(float(x))) ** 2 for f, x in zip(FEATURES, center))
+
+    distances = F.array(*[distance(c) for c in model.clusterCenters()])
+    rated = learning.kmeans_assignments(model, rows).select("*", F.get(distances, "cluster").alias("own"), F.array_min(distances).alias("least"))
+    spread = sum(F.var_pop(f) * F.count("*") for f in FEATURES)
+    summed = rated.agg(
+        F.count("*").alias("marts"), F.count_if(F.col("own") > F.col("least") * 1.000001 + 1e-6).alias("not_nearest"),
+        spread.alias("total"), F.sum("own").alias("inertia"))
+    sized = centers.agg(F.count("*").cast("int").alias("clusters"), F.sum("size").alias("in_clusters"))
+    return sized.join(summed).select(
+        "clusters", "marts", "in_clusters", "not_nearest", F.round("total", 0).cast("long").alias("spread"),
+        (F.col("inertia") <= F.col("total")).alias("tighter"))
+
+
 @query("event_label_features", oracle.with_events(f"""
     SELECT event_id, CAST(event_type = 'win' AS DOUBLE) AS label, purchase,
       CAST(payment_type = 'credit' AS DOUBLE) AS payment_credit,
@@ -45,10 +80,34 @@ def train_test_split(spark, sf_dir):
     return learning.split_by_id(app_events(spark, sf_dir).select("event_id"))
 
 
-def _tree_predictions(spark, sf_dir):
-    rows = learning.split_by_id(event_label_features(spark, sf_dir))
+def _fitted_tree(spark, sf_dir):
+    """(model, its predictions of the test rows), with the features stored."""
+    path = work_dir(spark, "labels")
+    learning.split_by_id(event_label_features(spark, sf_dir)).write.parquet(path)
+    rows = spark.read.parquet(path)
     model = learning.fit_event_tree(rows.where(F.col("split") == "train"))
-    return learning.predict_events(model, rows.where(F.col("split") == "test"))
+    return model, learning.predict_events(model, rows.where(F.col("split") == "test"))
+
+
+def _tree_predictions(spark, sf_dir):
+    return _fitted_tree(spark, sf_dir)[1]
+
+
+@query("event_tree_invariants", oracle.with_events(f"""
+    SELECT count(*) AS rows, count(*) FILTER (event_type = 'win') AS wins, count(DISTINCT event_id) AS ids,
+      CAST(0 AS BIGINT) AS other_predictions, true AS no_worse_than_guessing, true AS depth_in_bounds
+    FROM app_event WHERE {BUCKET} >= 7000"""))
+def event_tree_invariants(spark, sf_dir):
+    """What holds for any useful tree: every test row once, with one of two labels, and no more errors than from
+    always answering with the commoner label."""
+    model, predictions = _fitted_tree(spark, sf_dir)
+    wrong = F.count_if(F.col("label") != F.col("prediction"))
+    wins = F.count_if(F.col("label") == 1.0)
+    return predictions.agg(
+        F.count("*").alias("rows"), wins.alias("wins"), F.count_distinct("event_id").alias("ids"),
+        F.count_if(~F.col("prediction").isin(0.0, 1.0)).alias("other_predictions"),
+        (wrong <= F.least(wins, F.count("*") - wins)).alias("no_worse_than_guessing"),
+        F.lit(model.depth <= 5).alias("depth_in_bounds"))
 
 
 @query("event_tree_predictions")

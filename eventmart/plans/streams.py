@@ -1,20 +1,26 @@
 """Bounded runs of the streaming jobs: the events as a record stream, in several micro-batches."""
 
-from eventmart.functions.wide_rows import decode_marts
+import uuid
+
+from pyspark.sql import functions as F
+
+from eventmart.operators import sums
 from eventmart.plans import oracle
-from eventmart.plans.batch import DOCUMENTS_SQL, NUM_SALTS, cents
+from eventmart.plans.batch import DOCUMENTS_SQL, NUM_SALTS, WINS, cents
 from eventmart.plans.registry import query
-from eventmart.schemas import DOCUMENT_SCHEMA, EVENT_COLUMNS, EVENT_FILE_SCHEMA
+from eventmart.schemas import DOCUMENT_SCHEMA, EVENT_FILE_SCHEMA
 from eventmart.session import work_dir
 from eventmart.sources.adapter import stage_topic
+from eventmart.sources.open import open_events, open_marts
 from eventmart.sources.streams import record_stream
 from eventmart.storage.compaction import CompactingTable
-from eventmart.storage.layouts import from_file_layout
+from eventmart.storage.files import Files
+from eventmart.storage.layouts import create_file_table, from_file_layout
 from eventmart.streaming import jobs
 
 
-def _records(spark, sf_dir, work):
-    files = stage_topic(spark, sf_dir, f"{work}/topic")
+def _records(spark, sf_dir, work, repeats=False):
+    files = stage_topic(spark, sf_dir, f"{work}/topic", repeats=repeats)
     return record_stream(spark, "folder", path=f"{work}/topic", files_per_batch=files)
 
 
@@ -25,20 +31,72 @@ def stream_account_mart(spark, sf_dir):
     return cents(jobs.mart_table(spark, f"{work}/marts").latest())
 
 
-@query("stream_event_upsert", oracle.with_events("SELECT * FROM app_event"))
-def stream_event_upsert(spark, sf_dir):
+CORRECTED = """SELECT * REPLACE (CASE WHEN event_type = 'buy' THEN purchase + 1 ELSE purchase END AS purchase)
+    FROM app_event"""
+
+
+def _keyed(spark, sf_dir, repeats):
     work = work_dir(spark, "stream-keyed")
     jobs.finish(jobs.run_keyed(
-        _records(spark, sf_dir, work), f"{work}/events", f"{work}/marts", f"{work}/checkpoint"))
-    return jobs.event_table(spark, f"{work}/events").latest().select(*EVENT_COLUMNS)
+        _records(spark, sf_dir, work, repeats), f"{work}/events", f"{work}/marts", f"{work}/checkpoint"))
+    return work
 
 
-@query("stream_wide_marts", oracle.with_marts("SELECT * FROM mart"))
-def stream_wide_marts(spark, sf_dir):
+@query("stream_event_upsert", oracle.with_events(CORRECTED))
+def stream_event_upsert(spark, sf_dir):
+    """Every purchase arrives twice in one batch; the later offset wins."""
+    return open_events(spark, f"{_keyed(spark, sf_dir, True)}/events")
+
+
+@query("stream_keyed_marts", oracle.with_marts("SELECT * FROM mart"))
+def stream_keyed_marts(spark, sf_dir):
+    return cents(open_marts(spark, f"{_keyed(spark, sf_dir, False)}/marts"))
+
+
+@query("stream_then_wins", oracle.with_marts(WINS))
+def stream_then_wins(spark, sf_dir):
+    """The sums job over the table that the stream has written, in which a mart has several versions."""
+    return sums.wins_per_account(open_marts(spark, f"{_keyed(spark, sf_dir, False)}/marts"))
+
+
+@query("stream_restarted_table", oracle.with_events(CORRECTED))
+def stream_restarted_table(spark, sf_dir):
+    """A second checkpoint, whose batches count from 0 again, sends corrections into the same table."""
+    work = work_dir(spark, "stream-restarted")
+    for n, repeats in enumerate((False, True)):
+        records = _records(spark, sf_dir, f"{work}/{n}", repeats)
+        jobs.finish(jobs.run_keyed(records, f"{work}/events", f"{work}/marts", f"{work}/{n}/checkpoint"))
+    return open_events(spark, f"{work}/events")
+
+
+@query("stream_resumed_marts", oracle.with_marts("SELECT * FROM mart"))
+def stream_resumed_marts(spark, sf_dir):
+    """The stream ends after half of the records and goes on from its checkpoint with the rest."""
+    work = work_dir(spark, "stream-resumed")
+    stage_topic(spark, sf_dir, f"{work}/all")
+    staged = spark.read.parquet(f"{work}/all")
+    for half in (0, 1):
+        staged.where(F.pmod(F.col("offset") / 2, F.lit(2)) == half).write.mode("append").parquet(f"{work}/topic")
+        records = record_stream(spark, "folder", path=f"{work}/topic")
+        jobs.finish(jobs.run_marts(records, f"{work}/marts", f"{work}/checkpoint"))
+    return cents(open_marts(spark, f"{work}/marts"))
+
+
+def _wide(spark, sf_dir, repeats):
     work = work_dir(spark, "stream-wide")
     jobs.finish(jobs.run_wide(
-        _records(spark, sf_dir, work), f"{work}/events", f"{work}/marts", NUM_SALTS, f"{work}/checkpoint"))
-    return cents(decode_marts(jobs.mart_wide_table(spark, f"{work}/marts").latest()))
+        _records(spark, sf_dir, work, repeats), f"{work}/events", f"{work}/marts", NUM_SALTS, f"{work}/checkpoint"))
+    return work
+
+
+@query("stream_wide_marts", oracle.with_marts("SELECT * FROM mart"))
+def stream_wide_marts(spark, sf_dir):
+    return cents(open_marts(spark, f"{_wide(spark, sf_dir, False)}/marts"))
+
+
+@query("stream_wide_events", oracle.with_events(CORRECTED))
+def stream_wide_events(spark, sf_dir):
+    return open_events(spark, f"{_wide(spark, sf_dir, True)}/events")
 
 
 @query("stream_search_docs", oracle.with_events(DOCUMENTS_SQL))
@@ -49,9 +107,23 @@ def stream_search_docs(spark, sf_dir):
     return jobs.document_table(spark, f"{work}/documents").latest().select(*DOCUMENT_SCHEMA.names)
 
 
+def _files(spark, sf_dir):
+    """The file job with a minimum that some of its files reach, from the size of the staged records."""
+    work = work_dir(spark, "stream-files")
+    records = _records(spark, sf_dir, work)
+    size = max(1, Files(spark, work).size(f"{work}/topic") // 6)
+    jobs.finish(jobs.run_files(records, f"{work}/files", size, f"{work}/checkpoint"))
+    return CompactingTable(spark, f"{work}/files", EVENT_FILE_SCHEMA, size)
+
+
 @query("stream_event_files", oracle.with_events("SELECT * FROM app_event"))
 def stream_event_files(spark, sf_dir):
-    work = work_dir(spark, "stream-files")
-    size = 128 << 20
-    jobs.finish(jobs.run_files(_records(spark, sf_dir, work), f"{work}/files", size, f"{work}/checkpoint"))
-    return from_file_layout(CompactingTable(spark, f"{work}/files", EVENT_FILE_SCHEMA, size).rows())
+    return open_events(spark, _files(spark, sf_dir).path)
+
+
+@query("stream_files_external_table", oracle.with_events("SELECT * FROM app_event"))
+def stream_files_external_table(spark, sf_dir):
+    """The external table over the published files, after a flush."""
+    table = _files(spark, sf_dir)
+    table.flush()
+    return from_file_layout(create_file_table(spark, f"event_files_{uuid.uuid4().hex}", table.table))

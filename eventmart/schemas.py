@@ -99,3 +99,11 @@ TOPIC_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
 ])
+
+# Where a record lies in its topic. Offsets of different topics or partitions do not compare, so the time at which
+# the broker took a record ranks first.
+COORDINATE_SCHEMA = T.StructType([
+    T.StructField("timestamp", T.TimestampType()), T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
+])
+COORDINATES = COORDINATE_SCHEMA.names

@@ -43,14 +43,23 @@ def document_lines(spark, sf_dir):
     return documents.select(F.explode(F.split("text", "\r\n|\n|\r")).alias("value"))
 
 
-def stage_topic(spark, sf_dir, path, batches=4):
-    """Write the events as key/value CSV records, in enough files for about `batches` micro-batches.
+def stage_topic(spark, sf_dir, path, batches=4, repeats=False):
+    """Write the events as key/value CSV records with coordinates, in enough files for about `batches` micro-batches.
 
-    Returns the number of files per micro-batch. Nothing is shuffled: a task cuts its own output.
+    With `repeats` every purchase is sent a second time, one cent higher and at a later offset of its topic, in the
+    same file. Returns the number of files per micro-batch. Nothing is shuffled: a task cuts its own output.
     """
-    events = app_events(spark, sf_dir)
-    records = events.select(F.col("account_id").alias("key"), event_line().alias("value"))
-    per_file = max(1, -(-events.count() // batches))
+    events = app_events(spark, sf_dir).withColumn("later", F.lit(0))
+    if repeats:
+        again = F.when(F.col("event_type") == BUY, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        events = events.withColumn("later", F.explode(again))
+        events = events.withColumn("purchase", F.col("purchase") + F.col("later"))
+    count = events.count()
+    records = events.select(
+        F.col("account_id").alias("key"), event_line().alias("value"), F.timestamp_millis("event_timestamp").alias("timestamp"),
+        F.lit("events").alias("topic"), F.lit(0).alias("partition"),
+        (F.col("event_id").cast("long") * 2 + F.col("later")).alias("offset"))
+    per_file = max(1, -(-count // batches))
     records.write.option("maxRecordsPerFile", per_file).parquet(path)
     files = len(spark.read.parquet(path).inputFiles())
     return max(1, -(-files // batches))

@@ -1,4 +1,4 @@
-"""The four ingestion jobs. Each takes a record stream (key, value, offset) and starts its queries.
+"""The four ingestion jobs. Each takes a record stream (key, value, coordinates) and starts its queries.
 
 Marts are running totals that never expire: there is no watermark, so an event arrives late at no
 cost but its state. Totals survive a restart through the checkpoint, and every sink is keyed by
@@ -19,7 +19,7 @@ from eventmart.functions.documents import event_documents
 from eventmart.functions.wide_rows import encode_events, encode_marts
 from eventmart.operators.mart import account_mart
 from eventmart.schemas import (
-    DOCUMENT_SCHEMA, EVENT_FILE_SCHEMA, EVENT_KEY, EVENT_SCHEMA, EVENT_WIDE_SCHEMA, MART_KEY, MART_SCHEMA,
+    COORDINATE_SCHEMA, COORDINATES, DOCUMENT_SCHEMA, EVENT_FILE_SCHEMA, EVENT_KEY, EVENT_SCHEMA, EVENT_WIDE_SCHEMA, MART_KEY, MART_SCHEMA,
     MART_WIDE_SCHEMA,
 )
 from eventmart.session import STATE_STORE, session_conf
@@ -31,16 +31,15 @@ from eventmart.storage.layouts import table_schema, to_file_layout
 from eventmart.storage.upsert import KeyedTable
 
 PARTITIONS = "spark.sql.shuffle.partitions"
-OFFSET = T.StructField("offset", T.LongType())
 
 
-def _with_offset(schema):
-    return T.StructType([*schema.fields, OFFSET])
+def _placed(schema):
+    return T.StructType([*schema.fields, *COORDINATE_SCHEMA.fields])
 
 
 def event_table(spark, path):
-    """Keyed event table; later batches win, within a batch the higher offset."""
-    return KeyedTable(spark, path, _with_offset(EVENT_SCHEMA), EVENT_KEY, ["offset"])
+    """Keyed event table; later batches win, within a batch the later record: by broker time, then topic, partition and offset."""
+    return KeyedTable(spark, path, _placed(EVENT_SCHEMA), EVENT_KEY, COORDINATES)
 
 
 def mart_table(spark, path):
@@ -49,7 +48,7 @@ def mart_table(spark, path):
 
 
 def event_wide_table(spark, path):
-    return KeyedTable(spark, path, _with_offset(EVENT_WIDE_SCHEMA), ["row_key"], ["offset"])
+    return KeyedTable(spark, path, _placed(EVENT_WIDE_SCHEMA), ["row_key"], COORDINATES)
 
 
 def mart_wide_table(spark, path):
@@ -58,7 +57,7 @@ def mart_wide_table(spark, path):
 
 def document_table(spark, path):
     """Documents keyed by id."""
-    return KeyedTable(spark, path, _with_offset(DOCUMENT_SCHEMA), ["id"], ["offset"])
+    return KeyedTable(spark, path, _placed(DOCUMENT_SCHEMA), ["id"], COORDINATES)
 
 
 def _into(table, compact_every):
@@ -86,7 +85,7 @@ def _start(rows, sink, checkpoint, seconds, mode, state_partitions=None):
 def run_keyed(records, events_path, marts_path, checkpoint, seconds=None, compact_every=0, state_partitions=None):
     """Events and running marts into keyed tables: two queries over one source."""
     spark = records.sparkSession
-    events = event_stream(records, keep_offset=True)
+    events = event_stream(records, coordinates=True)
     marts = account_mart(event_stream(records))
     return [
         _start(events, _into(event_table(spark, events_path), compact_every),
@@ -106,7 +105,7 @@ def run_marts(records, marts_path, checkpoint, seconds=None, compact_every=0, st
 def run_wide(records, events_path, marts_path, num_salts, checkpoint, seconds=None, compact_every=0, state_partitions=None):
     """Events and running marts as salted wide rows, in two tables."""
     spark = records.sparkSession
-    events = encode_events(event_stream(records, keep_offset=True), num_salts, ["offset"])
+    events = encode_events(event_stream(records, coordinates=True), num_salts, COORDINATES)
     marts = encode_marts(account_mart(event_stream(records)), num_salts)
     return [
         _start(events, _into(event_wide_table(spark, events_path), compact_every),
@@ -140,8 +139,8 @@ def run_docs(records, checkpoint, send=None, table_path=None, batch_size=100, re
         def sink(rows, batch_id, owner):
             index_documents(rows, send, batch_size, retry_wait=retry_wait)
     else:
-        events = event_stream(records, keep_offset=True)
-        documents = event_documents(events, ["offset"])
+        events = event_stream(records, coordinates=True)
+        documents = event_documents(events, COORDINATES)
         sink = _into(document_table(records.sparkSession, table_path), compact_every)
     return _start(documents, sink, f"{checkpoint}/docs", seconds, "append")
 

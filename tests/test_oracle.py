@@ -11,6 +11,7 @@ sys.path.insert(0, str(ROOT))
 
 import check_oracle  # noqa: E402
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from eventmart.plans import ORACLES, QUERIES  # noqa: E402
 
 SF_DIR = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables here")
@@ -26,18 +27,18 @@ def duck():
 
 
 def test_only_unrepeatable_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    result = queries()[name](spark, str(SF_DIR))
+    result = QUERIES[name](spark, str(SF_DIR))
     got = result.toPandas()
     if name in ROWS_ONLY:
         assert len(got) > 0
         return
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     assert check_oracle.differing_types(result, cursor.description) == []
     want = cursor.df()
     assert sorted(got.columns) == sorted(want.columns)
