@@ -65,33 +65,28 @@ def _hash_group(units, lengths, powers):
 
 
 def _hash_batch(texts: pa.Array) -> pa.Array:
-    """Hashes of a batch, in groups of at most PIECE code units whatever the length of its texts."""
-    powers = _powers(PIECE + 1)
-    hashes = np.zeros(len(texts), dtype=np.uint32)
-    group, first, size = [], 0, 0
-
-    def close(upto):
-        nonlocal group, first, size
-        if group:
-            lengths = np.array([len(b) // 2 for b in group], dtype=np.int64)
-            hashes[first:upto] = _hash_group(np.frombuffer(b"".join(group), dtype="<u2"), lengths, powers)
-        group, first, size = [], upto, 0
-
-    for i, text in enumerate(texts):
-        encoded = (text.as_py() or "").encode("utf-16-le")
-        n = len(encoded) // 2
-        if size + n > PIECE:
-            close(i)
-        if n > PIECE:
-            units, state = np.frombuffer(encoded, dtype="<u2"), 0
-            for start in range(0, n, PIECE):
+    """Hashes of a batch, decoded and hashed in groups of about PIECE bytes whatever the length of its texts."""
+    column = texts.cast(pa.large_string()).fill_null("").cast(pa.large_binary())
+    n, powers = len(column), _powers(PIECE + 1)
+    hashes = np.zeros(n, dtype=np.uint32)
+    offsets = np.frombuffer(column.buffers()[1], "<i8")[column.offset:column.offset + n + 1] if n else np.zeros(1, "<i8")
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    first = 0
+    while first < n:
+        upto = max(first + 1, int(np.searchsorted(offsets, offsets[first] + PIECE, "right")) - 1)
+        part = data[offsets[first]:offsets[upto]]
+        units = np.frombuffer(part.tobytes().decode().encode("utf-16-le"), dtype="<u2")
+        if len(part) > PIECE:  # one long text
+            state = 0
+            for start in range(0, len(units), PIECE):
                 state = _hash_piece(units[start:start + PIECE], state, powers)
-            hashes[i] = state
-            first = i + 1
+            hashes[first] = state
         else:
-            group.append(encoded)
-            size += n
-    close(len(texts))
+            # a character is one unit, two where its UTF-8 has four bytes
+            each = ((part & 0xC0) != 0x80).astype(np.int64) + (part >= 0xF0)
+            before = np.concatenate([[0], np.cumsum(each)])
+            hashes[first:upto] = _hash_group(units, np.diff(before[offsets[first:upto + 1] - offsets[first]]), powers)
+        first = upto
     return pa.array(hashes.view(np.int32), type=pa.int32(), mask=np.asarray(texts.is_null()))
 
 
