@@ -1,21 +1,22 @@
 """Near-duplicate documents by b-bit MinHash.
 
 A document is the set of its distinct 5-word shingles. HASHES minima are taken of it; groups of ROWS minima
-make the band keys that propose candidates, and BITS low bits of every minimum are packed into a signature of a
-few long integers. Two signatures agree by chance in one of 2**BITS lanes, so the share of agreeing lanes m is
+make the band keys that propose candidates, and BITS low bits of the first SIGNED minima are packed into a signature
+of a few long integers. Two signatures agree by chance in one of 2**BITS lanes, so the share of agreeing lanes m is
 corrected to (m - C) / (1 - C) with C = 2**-BITS; candidates estimated far below the threshold are dropped, the
-others are confirmed on the full sets. At the threshold a band agrees with probability 0.42, all bands
+others are confirmed on the full sets. At the threshold a band agrees with probability 0.32, all bands
 fail with 1e-10; the estimate is cut six standard deviations below.
 
-Only what can change the components is looked at:
+Only what can change the components is looked at, and no group of documents becomes a list of pairs:
 1. documents with the same set become one class, kept by its smallest id;
 2. every member of a band's bucket is paired with the bucket's smallest member alone. Of these partners each
    class confirms the one with the highest estimate, which gives a first set of components;
-3. in buckets whose members still belong to several components, the members outside the bucket's largest
-   component are compared with all members of other components, and what passes the estimate is confirmed.
-After that every pair that shares a band is either in one component or was compared. Large groups of copies cost a
-row per member and band, not a row per pair, and confirmation streams a class's partners past it, split
-into salted shares where they are many.
+3. in buckets whose members still belong to several components, signatures are compared block by block inside a
+   task, which only tells which components have candidates in common: families of components;
+4. in families of several components, full sets are compared block by block inside a task, which only tells
+   which components are linked.
+After that every pair that shares a band is in one component, or was estimated too low, or was compared in full. A
+large group costs a row per member and band, and a row per member and block of its bucket or family.
 
 Defined results: a null text, like one without words, has an empty set and is linked with nothing. Fewer words
 than a shingle form one shingle. Rows with the same id count as one document. A row without an id is linked with
@@ -24,7 +25,6 @@ nothing and has no component; it is kept. An empty table gives an empty result.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,15 +34,18 @@ from eventmart.llm.words import MIX_A, MULTIPLIER, U, Hasher, mixed, segment_sum
 
 SHINGLE = 5
 PERCENT = 75       # linked where 100 * intersection >= PERCENT * union
-HASHES = 128
-ROWS = 3
-BANDS = HASHES // ROWS
+ROWS = 4
+BANDS = 60
+HASHES = BANDS * ROWS
+SIGNED = 128
 BITS = 2
 LANES = 64 // BITS
-WORDS = HASHES // LANES
+WORDS = SIGNED // LANES
 CHANCE = 2.0 ** -BITS
 ESTIMATE_FROM = 0.45
 SHARE = 500        # partners of a class confirmed by one task at a time
+SIGNATURE_BLOCK = 2048  # members of a bucket compared by signature at a time
+SET_BLOCK = 512         # members of a family compared in full at a time
 SIGNATURE = [f"s{i}" for i in range(WORDS)]
 SET = ["set_a", "set_b", "n_shingles"]
 
@@ -97,9 +100,9 @@ def sketches(docs, id_col="doc_id", text_col="text"):
                     for row in low[band * ROWS:(band + 1) * ROWS]:
                         key = mixed(key * MULTIPLIER + row.astype(U))
                     keys[there, band] = key
-                lanes = ((low * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(U)
+                lanes = ((low[:SIGNED] * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(U)
                 packed = np.zeros((n, WORDS), U)
-                for i in range(HASHES):
+                for i in range(SIGNED):
                     packed[there, i // LANES] |= lanes[i] << U(BITS * (i % LANES))
                 used = np.diff(bounds) > 0
                 offsets = np.concatenate([[0], np.cumsum(used * BANDS)]).astype(np.int32)
@@ -123,7 +126,7 @@ def estimate(left, right):
     for a, b in zip(left, right):
         x = a.bitwiseXOR(b)
         differing = differing + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(odd)))
-    return ((1 - differing / HASHES) - CHANCE) / (1 - CHANCE)
+    return ((1 - differing / SIGNED) - CHANCE) / (1 - CHANCE)
 
 
 def _confirmed(docs, pairs, id_col, text_col):
@@ -159,6 +162,111 @@ def _confirmed(docs, pairs, id_col, text_col):
     return rows.mapInArrow(confirm, "a long, b long").distinct()
 
 
+class _Labels:
+    """Components of a block's members; `join` says whether two of them were apart."""
+
+    def __init__(self, components):
+        self.names, self.of = np.unique(components, return_inverse=True)
+
+    def join(self, i, others):
+        """Join member i with others; the pairs of names that this brings together."""
+        mine, found = self.of[i], np.unique(self.of[others])
+        found = found[found != mine]
+        if len(found):
+            self.of[np.isin(self.of, found)] = mine
+        return [(self.names[mine], self.names[x]) for x in found]
+
+
+def _blocks(rows, group, size, block):
+    """Every pair of blocks of each group's members: columns `block` (number of the pair) and `side`.
+
+    A member of block k takes part in the pairs (i, k) and (k, j); one block is a pair with itself.
+    """
+    count = F.ceil(F.col(size) / block).cast("int")
+    mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    paired = rows.withColumn("blocks", count).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    paired = paired.withColumn("block", low * F.col("blocks") + high).withColumn("side", (F.col("mine") != low).cast("int"))
+    return paired.repartition(group, "block").sortWithinPartitions(group, "block", "doc_id")
+
+
+def _streamed(batches, columns):
+    """Tables of consecutive rows with equal first two columns."""
+    held, place = [], None
+    for batch in batches:
+        key = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)], 1)
+        cut = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+        for a, b in zip(np.concatenate([[0], cut]), np.append(cut, len(key))):
+            if a == b:
+                continue
+            if place is not None and tuple(key[a]) != place:
+                yield pa.Table.from_batches(held)
+                held = []
+            place = tuple(key[a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _pairs_out(found):
+    found = [(max(x), min(x)) for x in found]
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(2)], ["u", "v"])
+
+
+def _families(open_):
+    """Pairs of components that have members with like signatures in one bucket."""
+    def compare(batches):
+        odd = U(int("01" * LANES, 2))
+        most = (1 - ESTIMATE_FROM) * (1 - CHANCE) * SIGNED  # lanes that may differ
+        for table in _streamed(batches, 2):
+            labels, side = _Labels(table.column(2).to_numpy()), table.column(3).to_numpy()
+            signs = np.stack([table.column(4 + i).to_numpy().view(U) for i in range(WORDS)], 1)
+            right = np.flatnonzero(side == 1) if side.any() else np.arange(len(side))
+            found = []
+            for i in np.flatnonzero(side == 0):
+                apart = right[labels.of[right] != labels.of[i]]
+                if len(apart):
+                    x = signs[apart] ^ signs[i]
+                    near = np.bitwise_count((x | (x >> U(1))) & odd).sum(1) <= most
+                    found += labels.join(i, apart[near])
+            yield _pairs_out(found)
+
+    rows = _blocks(open_, "key", "members", SIGNATURE_BLOCK).select("key", "block", "component", "side", *SIGNATURE)
+    return rows.mapInArrow(compare, "u long, v long").distinct()
+
+
+def _links(docs, members, id_col, text_col):
+    """Pairs of components of one family that have linked members, by their full sets."""
+    def compare(batches):
+        hasher = Hasher()
+        for table in _streamed(batches, 2):
+            labels, side = _Labels(table.column(2).to_numpy()), table.column(3).to_numpy()
+            found = [(shingle_sets(w)) for _, _, w in slices(table.column(4), hasher)]
+            sets = np.concatenate([x for x, _ in found])
+            size = np.concatenate([np.diff(b) for _, b in found])
+            bounds = np.concatenate([[0], np.cumsum(size)])
+            universe, number = np.unique(sets, return_inverse=True)
+            mark = np.zeros(len(universe), np.int32)
+            right = np.flatnonzero(side == 1) if side.any() else np.arange(len(side))
+            pairs = []
+            for i in np.flatnonzero(side == 0):
+                apart = right[labels.of[right] != labels.of[i]]
+                apart = apart[(100 * np.minimum(size[apart], size[i]) >= PERCENT * np.maximum(size[apart], size[i]))]
+                if not len(apart):
+                    continue
+                mine = number[bounds[i]:bounds[i + 1]]
+                mark[mine] = 1
+                theirs = np.concatenate([number[bounds[j]:bounds[j + 1]] for j in apart])
+                both = segment_sums(mark[theirs].astype(np.int64), np.concatenate([[0], np.cumsum(size[apart])]))
+                mark[mine] = 0
+                pairs += labels.join(i, apart[100 * both >= PERCENT * (size[apart] + size[i] - both)])
+            yield _pairs_out(pairs)
+
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = _blocks(members.join(texts, "doc_id"), "family", "members", SET_BLOCK).select("family", "block", "component", "side", "text")
+    return rows.mapInArrow(compare, "u long, v long").distinct()
+
+
 def near_duplicates(docs, id_col="doc_id", text_col="text"):
     """Per row: doc_id, n_shingles, component_id, kept."""
     sketch = stored(sketches(docs, id_col, text_col), "sketches")
@@ -183,21 +291,18 @@ def near_duplicates(docs, id_col="doc_id", text_col="text"):
 
     label = F.coalesce("root", "doc_id")
     placed = stored(members.join(labels.select(F.col("u").alias("doc_id"), "root"), "doc_id", "left").select("key", "doc_id", label.alias("component")), "placed")
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    open_ = stored(placed.join(mixed_keys, "key", "left_semi").join(signature, "doc_id"), "open-buckets")
-    sizes = open_.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most")).select("key", F.col("most.component").alias("largest"))
-    sided = open_.join(largest, "key")
-    m, t = sided.where("component != largest").alias("m"), sided.alias("t")
-    apart = ((F.col("m.key") == F.col("t.key")) & (F.col("m.component") != F.col("t.component"))
-             & ((F.col("t.component") == F.col("t.largest")) | (F.col("m.component") < F.col("t.component")))
-             & (estimate(mine, theirs) >= ESTIMATE_FROM))
-    rest = m.join(t, apart).select(F.greatest("m.doc_id", "t.doc_id").alias("b"), F.least("m.doc_id", "t.doc_id").alias("a")).distinct()
-    rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "open-pairs")
-    if not rest.isEmpty():
-        more = _confirmed(docs, rest, id_col, text_col)
-        edges = stored(edges.unionByName(more), "all-edges")
-        labels = star_components(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    buckets = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"))
+    open_ = stored(placed.join(buckets.where("x < y").select("key", "members"), "key").join(signature, "doc_id"), "open-buckets")
+    families = star_components(_families(open_)).withColumnRenamed("u", "component").withColumnRenamed("root", "family")
+    # a family's smallest component is known by its own number
+    heads = families.select("family").distinct().select(F.col("family").alias("component"), "family")
+    apart = open_.select("doc_id", "component").distinct().join(families.unionByName(heads), "component")
+    sizes = apart.groupBy("family").agg(F.count("*").alias("members"))
+    members = stored(apart.join(sizes, "family"), "families")
+    if not members.isEmpty():
+        links = _links(docs, members, id_col, text_col)
+        edges = stored(labels.select("u", F.col("root").alias("v")).unionByName(links), "all-edges")
+        labels = star_components(edges)
 
     shared = classes.join(labels.select(F.col("u").alias("class"), "root"), "class", "left")
     shared = shared.select(*SET, F.coalesce("root", "class").alias("component")).where(F.col("root").isNotNull() | (F.col("copies") > 1))
