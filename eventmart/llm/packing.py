@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.llm.common import stored
-from eventmart.llm.tokens import Encoder
+from eventmart.llm.tokens import encoder, row_slices
 
 CAPACITY = 2048
 FINEST = 16
@@ -55,11 +55,11 @@ def cuts(tokens, capacity=CAPACITY, finest=FINEST):
 def pieces(docs, tokenizer_path, end_id, id_col="doc_id", text_col="text", capacity=CAPACITY):
     """One row per piece, with its class and its place among the worker's pieces of the class."""
     def cut(batches):
-        encoder, worker, counts = Encoder(tokenizer_path), TaskContext.get().partitionId(), {}
-        for batch in batches:
+        codec, worker, counts = encoder(tokenizer_path), TaskContext.get().partitionId(), {}
+        for batch in row_slices(batches):
             columns = [[] for _ in PIECES]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.batch([text], end_id)[0]
+                ids = codec.batch([text], end_id)[0]
                 tokens, start = len(ids) // 4, 0
                 for length, kind in cuts(tokens, capacity):
                     place = counts.get(kind, 0)

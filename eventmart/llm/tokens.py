@@ -1,22 +1,49 @@
 """Token ids of whole texts, through the tokenizers library.
 
 Words repeat, so a task encodes each distinct piece of text once and joins the pieces' ids. A text is only
-cut where the result cannot change: before a single space between two characters that no
-tokenizer here takes for white space. Both kinds of vocabulary start a new word there: a byte-level
-one takes the space into the word after it, a word-level one drops it.
+cut where the result cannot change, whatever stands around it, because both kinds of vocabulary begin a new
+word there: before a single space and around a single line feed between two characters that no tokenizer here
+takes for white space, and between a Latin letter and the ASCII marks in MARKS (not the apostrophe). A byte-level
+vocabulary takes the space into the word after it, a word-level one drops it.
 
 The strings of special tokens in a text are ordinary text. A null text is an empty one.
 """
 
 import os
 import re
+import sys
+import types
 
 import numpy as np
 
 LONGEST_KEPT = 64     # characters of a piece that is remembered
-MOST_KEPT = 400_000   # pieces remembered at a time; more only cost time
+MOST_KEPT = 500_000   # pieces remembered at a time; more only cost time
 # Python's white space and the separators below 0x20 are a superset of every tokenizer's white space.
-CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85\u180e\ufeff])(?= [^\s\x1c-\x1f\x85\u180e\ufeff])")
+WHITE = r"\s\x1c-\x1f\x85\u180e\ufeff"
+LETTERS = r"A-Za-zÀ-ÖØ-öø-ÿ"
+MARKS = r".,;:!?#$%&*|()"
+SPACES = re.compile(rf"(?<=[^{WHITE}])(?= [^{WHITE}])")
+INNER = re.compile(rf"(?<=[{LETTERS}])(?=[{MARKS}])|(?<=[^{WHITE}])(?=\n[^{WHITE}])|(?<=[^{WHITE}]\n)(?=[^{WHITE}])")
+SOLID = re.compile(rf"[^{WHITE}](.*[^{WHITE}])?", re.S)
+LETTERS_ONLY = re.compile(rf" ?[{LETTERS}]+")
+# A byte-level vocabulary writes printable bytes as themselves and the others as the characters from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: b for b in PRINTABLE} | {b: 256 + n for n, b in enumerate(x for x in range(256) if x not in set(PRINTABLE))}
+
+
+class _Known(dict):
+    """Ids by text, worked out where they are asked for first and remembered in bounds."""
+
+    def __init__(self, find):
+        self._find = find
+
+    def __missing__(self, text):
+        found = self._find(text)
+        if len(text) <= LONGEST_KEPT:
+            if len(self) >= MOST_KEPT:
+                self.clear()
+            self[text] = found
+        return found
 
 
 class Encoder:
@@ -28,31 +55,55 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._known = {}
+        self._model = self._tokenizer.model
+        whole = self._tokenizer.encode
+        self._lowers = whole("A").ids == whole("a").ids
+        self._takes_space = whole(" a").ids != whole("a").ids
+        self._pieces = _Known(self._encode)
+        self._words = _Known(self._cut)
+        self._spaced = _Known(self._cut_spaced)
+
+    def _encode(self, text):
+        if LETTERS_ONLY.fullmatch(text):  # one word of the vocabulary's own splitting: straight to its model
+            text = text if self._takes_space else text.strip(" ")
+            text = text.lower() if self._lowers else text
+            ids = [t.id for t in self._model.tokenize(text.encode().decode("latin-1").translate(BYTE_LETTERS))]
+        else:
+            ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
 
-    def _encode(self, pieces):
-        found = self._tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+    def _cut(self, text):
+        return b"".join(map(self._pieces.__getitem__, INNER.split(text)))
+
+    def _cut_spaced(self, text):
+        """Ids of the text after a space; None where white space next to the space forbids the cut."""
+        return self._cut(" " + text) if SOLID.fullmatch(text) else None
 
     def ids(self, text):
-        pieces = CUT.split(text)
-        known = self._known
+        first, *rest = text.split(" ")
         try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
+            if not rest or SOLID.fullmatch(first):
+                return self._words[first] + b"".join(map(self._spaced.__getitem__, rest))
+        except TypeError:
             pass
-        missing = [p for p in set(pieces) if p not in known]
-        if len(known) + len(missing) > MOST_KEPT:
-            known.clear()
-            missing = list(set(pieces))
-        known.update(zip(missing, self._encode(missing)))
-        result = b"".join(map(known.__getitem__, pieces))
-        for piece in missing:
-            if len(piece) > LONGEST_KEPT:
-                del known[piece]
-        return result
+        return b"".join(map(self._words.__getitem__, SPACES.split(text)))
 
     def batch(self, texts, end_id):
         """Ids of each text with the end id."""
         end = int(end_id).to_bytes(4, "little")
         return [self.ids(t or "") + end for t in texts]
+
+
+def encoder(path):
+    """The process's encoder for a vocabulary: a worker keeps what it has learnt from task to task."""
+    kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
+def row_slices(batches, rows=1000):
+    """The batches in slices of so many rows at most, so that little is held as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
