@@ -13,7 +13,7 @@ from eventmart.functions.wide_rows import (
 from eventmart.operators import mart, publish, stats, sums
 from eventmart.plans import oracle
 from eventmart.plans.registry import query
-from eventmart.schemas import BUY, CREDIT, DEBIT, EVENT_COLUMNS, MART_KEY, MART_TOTALS, PAYPAL
+from eventmart.schemas import BUY, CREDIT, DEBIT, EVENT_COLUMNS, MART_CELLS, MART_KEY, MART_TOTALS, PAYPAL
 from eventmart.session import work_dir
 from eventmart.sources.adapter import app_events, document_lines
 from eventmart.sources.tables import events_by_name, marts_by_name, scan_table
@@ -192,15 +192,17 @@ def event_wide_cells(spark, sf_dir):
     return encode_events(app_events(spark, sf_dir), NUM_SALTS)
 
 
-@query("mart_wide_cells", oracle.with_marts(f"""
-    SELECT {oracle.mart_key_sql(NUM_SALTS)} AS row_key, CAST(sign_on_count AS VARCHAR) AS s,
-      CAST(win_count AS VARCHAR) AS w, CAST(lose_count AS VARCHAR) AS l, CAST(purchase_total AS VARCHAR) AS pt,
-      CAST(payment_credit_total AS VARCHAR) AS pct, CAST(payment_credit_count AS VARCHAR) AS pcc,
-      CAST(payment_debit_total AS VARCHAR) AS pdt, CAST(payment_debit_count AS VARCHAR) AS pdc,
-      CAST(payment_paypal_total AS VARCHAR) AS ppt, CAST(payment_paypal_count AS VARCHAR) AS ppc
-    FROM mart"""))
+# Totals are compared as numbers: engines write large ones differently.
+MART_TOTAL_CELLS = [cell for cell, column in MART_CELLS.items() if column in MART_TOTALS]
+
+
+@query("mart_wide_cells", oracle.with_marts(
+    f"SELECT {oracle.mart_key_sql(NUM_SALTS)} AS row_key, " + ", ".join(
+        f"{column} AS {cell}" if cell in MART_TOTAL_CELLS else f"CAST({column} AS VARCHAR) AS {cell}"
+        for cell, column in MART_CELLS.items()) + " FROM mart"))
 def mart_wide_cells(spark, sf_dir):
-    return encode_marts(rounded_marts(spark, sf_dir), NUM_SALTS)
+    cells = encode_marts(rounded_marts(spark, sf_dir), NUM_SALTS)
+    return cells.withColumns({c: F.col(c).cast("double") for c in MART_TOTAL_CELLS})
 
 
 @query("event_wide_roundtrip", oracle.with_events("SELECT * FROM app_event"))
@@ -210,7 +212,7 @@ def event_wide_roundtrip(spark, sf_dir):
 
 @query("mart_wide_roundtrip", oracle.with_marts("SELECT * FROM mart"))
 def mart_wide_roundtrip(spark, sf_dir):
-    return decode_marts(mart_wide_cells(spark, sf_dir))
+    return decode_marts(encode_marts(rounded_marts(spark, sf_dir), NUM_SALTS))
 
 
 @query("salt_region_counts", oracle.with_events(f"""
@@ -254,9 +256,11 @@ def dynamic_field_orders(spark, sf_dir):
     return dynamic_fields(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey")
 
 
-@query("mart_json", oracle.with_marts("SELECT CAST(to_json(mart) AS VARCHAR) AS json FROM mart"))
+@query("mart_json", oracle.with_marts("SELECT * FROM mart"))
 def mart_json(spark, sf_dir):
-    return as_json(rounded_marts(spark, sf_dir))
+    """Rows as JSON, parsed again: engines write large numbers differently."""
+    marts = rounded_marts(spark, sf_dir)
+    return as_json(marts).select(F.from_json("json", marts.schema).alias("mart")).select("mart.*")
 
 
 # --- statistics ------------------------------------------------------------------------------------
