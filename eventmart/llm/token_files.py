@@ -24,7 +24,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.llm.tokens import Encoder
+from eventmart.llm.tokens import encoder, row_slices
 
 MANIFEST = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("docs", T.LongType()), T.StructField("tokens", T.LongType()),
@@ -67,11 +67,10 @@ class _Part:
 def write_token_files(docs, folder, tokenizer_path, end_id, id_bytes, id_col="doc_id", text_col="text"):
     """Encode all documents into `folder`; returns the manifest as stored."""
     def write(batches):
-        encoder, part, file = Encoder(tokenizer_path), TaskContext.get().partitionId(), None
-        for batch in batches:
-            if batch.num_rows:
-                file = file or _Part(folder, part, id_bytes)
-                file.add(batch.column(0).to_pylist(), encoder.batch(batch.column(1).to_pylist(), end_id))
+        codec, part, file = encoder(tokenizer_path), TaskContext.get().partitionId(), None
+        for batch in row_slices(batches):
+            file = file or _Part(folder, part, id_bytes)
+            file.add(batch.column(0).to_pylist(), codec.batch(batch.column(1).to_pylist(), end_id))
         if file:
             file.close()
             row = [part, file.docs, file.tokens, file.without_id, id_bytes]
