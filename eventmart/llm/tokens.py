@@ -13,8 +13,7 @@ import os
 import re
 import sys
 import types
-
-import numpy as np
+from array import array
 
 LONGEST_KEPT = 64     # characters of a piece that is remembered
 MOST_KEPT = 500_000   # pieces remembered at a time; more only cost time
@@ -64,19 +63,23 @@ class Encoder:
         self._spaced = _Known(self._cut_spaced)
 
     def _encode(self, text):
-        if LETTERS_ONLY.fullmatch(text):  # one word of the vocabulary's own splitting: straight to its model
-            text = text if self._takes_space else text.strip(" ")
-            text = text.lower() if self._lowers else text
-            ids = [t.id for t in self._model.tokenize(text.encode().decode("latin-1").translate(BYTE_LETTERS))]
-        else:
-            ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        if LETTERS_ONLY.fullmatch(text):
+            return self._spaced[text[1:]] if text[0] == " " else self._word(text)
+        return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, text):
+        """Ids of letters, after a space or not: one word of the vocabulary's own splitting, so its model's part."""
+        text = text if self._takes_space else text.strip(" ")
+        text = text.lower() if self._lowers else text
+        return array("I", [t.id for t in self._model.tokenize(text.encode().decode("latin-1").translate(BYTE_LETTERS))]).tobytes()
 
     def _cut(self, text):
         return b"".join(map(self._pieces.__getitem__, INNER.split(text)))
 
     def _cut_spaced(self, text):
         """Ids of the text after a space; None where white space next to the space forbids the cut."""
+        if LETTERS_ONLY.fullmatch(text):
+            return self._word(" " + text)
         return self._cut(" " + text) if SOLID.fullmatch(text) else None
 
     def ids(self, text):
