@@ -1,7 +1,9 @@
 """Arrays in binary cells: how many small records travel through a shuffle as few rows.
 
-A blob is a number of named arrays behind a fixed header. Texts are dealt to buckets by a hash of their id, of
-about BUCKET_BYTES each, so a bucket's texts are the same however a job is split or repeated.
+A blob is a number of arrays behind a header. Texts are dealt to buckets by a hash of id and text, of about
+BUCKET_BYTES each, so a bucket's texts are the same however a job is split or repeated, and rows that
+share an id, or have none, spread over buckets. A bucket is held in memory by one task; larger ones mean fewer blobs,
+of which there is one for each bucket and part.
 """
 
 import numpy as np
@@ -15,6 +17,11 @@ def pack(*arrays):
     return b"".join([head.tobytes(), *[np.ascontiguousarray(a).tobytes() for a in arrays]])
 
 
+def narrow(numbers):
+    """Numbers from 0 on in the narrowest unsigned type that holds them all."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max()) if len(numbers) else 0))
+
+
 TYPES = {np.dtype(t).num: np.dtype(t) for t in ("u1", "u2", "u4", "u8", "i4", "i8", "f4", "f8")}
 
 
@@ -51,7 +58,7 @@ def bucket_count(docs, text_col="text", size=BUCKET_BYTES):
 
 
 def bucketed(docs, buckets, id_col="doc_id", text_col="text", *more):
-    """bucket, doc_id, text and the columns `more`, dealt by id."""
+    """bucket, doc_id, text and the columns `more`."""
     return docs.select(
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)).cast("int").alias("bucket"),
+        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(buckets)).cast("int").alias("bucket"),
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)

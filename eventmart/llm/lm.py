@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from eventmart.llm.blobs import bucket_count, bucketed, by_part, pack, part_of, unpack
+from eventmart.llm.blobs import bucket_count, bucketed, by_part, narrow, pack, part_of, unpack
 from eventmart.llm.elias_fano import Sequence, Mapped, Trie
 from eventmart.llm.words import U, Hasher, mixed, slices
 
@@ -83,7 +83,7 @@ def _word_messages(number, bucket, parts):
     trained = np.count_nonzero(~bucket.table.column("held_out").to_numpy(zero_copy_only=False))
     for p in range(parts):
         s = slice(bounds[p], bounds[p + 1])
-        yield p, pack(np.array([number, trained if p == 0 else 0]), bucket.words[s], bucket.train_counts[s].astype(np.uint32))
+        yield p, pack(np.array([number, trained if p == 0 else 0]), bucket.words[s], narrow(bucket.train_counts[s]))
 
 
 def _count_words(table):
@@ -99,15 +99,15 @@ def _count_words(table):
     totals = np.array([part, counts.sum(), np.count_nonzero(counts), sum(int(b[0][1]) for b in blobs)])
     for b in blobs:
         at, _ = root.find(b[1])
-        yield int(b[0][0]), pack(totals, counts[at] if len(at) else np.zeros(0, np.int64))
+        yield int(b[0][0]), pack(totals, narrow(counts[at]))
 
 
 class _Unigrams:
     """Counts of a bucket's words in the corpus and the unigram estimates that follow."""
 
     def __init__(self, counts, tokens, distinct, documents):
-        self.counts, self.tokens, self.distinct, self.documents = counts, int(tokens), int(distinct), int(documents)
-        self.log10 = np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
+        self.counts, self.tokens, self.distinct, self.documents = counts.astype(np.int64), int(tokens), int(distinct), int(documents)
+        self.log10 = np.log10((self.counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
 
     @classmethod
     def of(cls, replies):
@@ -116,7 +116,7 @@ class _Unigrams:
         return cls(np.concatenate([b[1] for b in blobs]), *totals)
 
     def packed(self):
-        return pack(np.array([self.tokens, self.distinct, self.documents]), self.counts)
+        return pack(np.array([self.tokens, self.distinct, self.documents]), narrow(self.counts))
 
     @classmethod
     def unpacked(cls, blob):
@@ -141,8 +141,8 @@ def _bigram_messages(number, bucket, unigrams, parts):
     for p, (h, total, key, trained, low) in by_part(part, parts, h, total, key, trained, low):
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         yield p, pack(
-            np.array([number]), h[first], total[first], np.diff(np.append(first, len(h))).astype(np.uint32),
-            (key & U(0xFFFFFFFF)).astype(np.uint32), (key >> U(32)).astype(np.uint8), trained.astype(np.uint32), low.astype(np.uint8))
+            np.array([number]), h[first], narrow(total[first]), narrow(np.diff(np.append(first, len(h)))),
+            (key & U(0xFFFFFFFF)).astype(np.uint32), (key >> U(32)).astype(np.uint8), narrow(trained), low.astype(np.uint8))
 
 
 def _trie_of(h, total, key, trained, low):
@@ -172,7 +172,7 @@ def _answer_bigrams(table, parts):
     for blob in table.column("blob").to_pylist():
         (number,), h, total, runs, low_key, high_key, trained, low = unpack(blob)
         key = low_key.astype(U) | (high_key.astype(U) << U(32))
-        asked.append((int(number), np.repeat(h, runs), np.repeat(total, runs), key, trained.astype(np.int64), low.astype(np.float64)))
+        asked.append((int(number), np.repeat(h, runs), np.repeat(total.astype(np.int64), runs), key, trained.astype(np.int64), low.astype(np.float64)))
     trie = _trie_of(*(np.concatenate([a[i] for a in asked]) for i in range(1, 6)))
     for number, h, total, key, *_ in asked:
         value, found = trie.look_up(h, key)
