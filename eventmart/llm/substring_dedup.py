@@ -105,14 +105,14 @@ def _anchor_messages(bucket_number, bucket, parts):
     single = {p: a for p, a in by_part(part_of(single_hash, parts), parts, single_hash.astype(np.uint32), single_place.astype(np.uint32))}
     group = {p: a for p, a in by_part(part_of(group_hash, parts), parts, group_hash.astype(np.uint32), high[several], anchor[several])}
     none = [np.zeros(0, np.uint32), np.zeros(0, np.uint32)], [np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)]
-    first = bucket.first[:-1].astype(np.uint32)
     for p in sorted(set(single) | set(group)):
         h, at = single.get(p, none[0])
         order = np.argsort(at)
         h, at = h[order], at[order]
+        doc = np.unique(bucket.doc[at])  # only the documents of these entries are named
         step = np.diff(at, prepend=np.uint32(0))
         step = step.astype(np.uint16) if len(step) == 0 or step.max() < 1 << 16 else step
-        yield p, pack(np.array([bucket_number]), first, bucket.ids, h, step, *group.get(p, none[1]))
+        yield p, pack(np.array([bucket_number]), bucket.first[doc].astype(np.uint32), bucket.ids[doc], h, step, *group.get(p, none[1]))
 
 
 def _meet(parts_table):

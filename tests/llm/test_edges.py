@@ -109,8 +109,11 @@ def test_near_duplicates_without_ids_and_repeated(spark):
         (0, 0, True), (0, 0, True), (1, 1, True), (1, 1, True), (4, 1, False)]
 
 
-def test_near_groups_with_chains(spark):
-    """Chains of edits, groups of copies, and texts at and next to the threshold."""
+@pytest.mark.parametrize("signature_block, set_block", [(2048, 512), (7, 5)])
+def test_near_groups_with_chains(spark, monkeypatch, signature_block, set_block):
+    """Chains of edits, groups of copies, and texts at and next to the threshold, in one block or in many."""
+    monkeypatch.setattr(near_dedup, "SIGNATURE_BLOCK", signature_block)
+    monkeypatch.setattr(near_dedup, "SET_BLOCK", set_block)
     rng, rows = random.Random(2), []
     for group in range(12):
         text = [f"g{group}w{i}" for i in range(80)]
