@@ -6,7 +6,7 @@ a weight per feature and, for each pair of features, the product of their vector
 all pairs is half of (sum of v x) squared minus the sum of (v x) squared, so a score takes time linear
 in the document's features.
 
-The model is fitted on the driver, on at most TRAIN_ROWS labelled rows, those whose ids have the smallest
+The model is fitted in one task, on at most TRAIN_ROWS labelled rows, those whose ids have the smallest
 hashes; the rows' features, not their texts, are gathered. Its size is fixed, so it can be broadcast.
 
 Defined results: a null text is an empty one and is scored by its structure alone. A null id is held out.
@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventmart.llm.blobs import pack, unpack
 from eventmart.llm.words import Hasher, segment_sums, slices
 
 BUCKET_BITS = 18
@@ -94,6 +95,14 @@ class Machine:
             vectors = rng.normal(0, 0.05, (FEATURES, RANK)).astype(np.float32)
         self.weights, self.vectors, self.bias = weights, vectors, bias
 
+    def packed(self):
+        return pack(np.array([self.bias]), self.weights, self.vectors.ravel())
+
+    @classmethod
+    def unpacked(cls, blob):
+        (bias,), weights, vectors = unpack(blob)
+        return cls(weights, vectors.reshape(-1, RANK), float(bias))
+
     def margins(self, feature, value, bounds):
         scaled = self.vectors[feature] * value[:, None]
         total = segment_sums(scaled.astype(np.float64), bounds)
@@ -161,16 +170,21 @@ def train(docs, labels, id_col="doc_id", text_col="text", label_col="quality", r
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(feature, pa.int32())),
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(value, pa.float32()))], ["id", "label", "feature", "value"])
 
-    gathered = texts.mapInArrow(extract, "id long, label int, feature array<int>, value array<float>").toArrow()
-    order = gathered.sort_by([("id", "ascending")]) if gathered.num_rows else gathered
-    label, feature, value = (order.column(c).to_numpy() for c in ("label", "feature", "value"))
-    return fit([(label[i], feature[i], value[i].astype(np.float64)) for i in range(order.num_rows)])
+    def learn(table):
+        table = table.sort_by([("id", "ascending")])
+        label, feature, value = (table.column(c).to_numpy() for c in ("label", "feature", "value"))
+        machine = fit([(label[i], feature[i], value[i].astype(np.float64)) for i in range(len(label))])
+        return pa.table({"machine": pa.array([machine.packed()], pa.binary())})
+
+    gathered = texts.mapInArrow(extract, "id long, label int, feature array<int>, value array<float>")
+    learnt = gathered.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(learn, "machine binary").first()
+    return fit([]) if learnt is None else Machine.unpacked(learnt["machine"])
 
 
 def score(docs, machine, carried, text_col="text"):
     """The columns `carried` of every row and its score, as column SCORE."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast((machine.weights, machine.vectors, machine.bias))
+    model = spark.sparkContext.broadcast(machine.packed())
     rows = docs.select(F.col(text_col).alias("_text"), *carried)
     at = rows.columns.index(text_col) if text_col in rows.columns else 0
     rows = rows.drop("_text") if at else rows
@@ -178,7 +192,7 @@ def score(docs, machine, carried, text_col="text"):
     skip, at = (0, at - 1) if at else (1, 0)
 
     def apply(batches):
-        known, hasher = Machine(*model.value), Hasher()
+        known, hasher = Machine.unpacked(model.value), Hasher()
         for batch in batches:
             for a, b, words in slices(batch.column(at), hasher):
                 columns = [batch.column(i)[a:b] for i in range(skip, batch.num_columns)]
