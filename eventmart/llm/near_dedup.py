@@ -136,7 +136,8 @@ def _confirmed(docs, pairs, id_col, text_col):
         F.col("b").alias("doc"), F.col("a").alias("group"), F.pmod(F.xxhash64("b"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("role"))
     owner = shares.select(F.col("a").alias("doc"), F.col("a").alias("group"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("role"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    rows = partner.unionByName(owner).join(texts, "doc")
+    # texts always move to the pairs by id, at every size alike
+    rows = partner.unionByName(owner).hint("merge").join(texts, "doc")
     rows = rows.repartition("group", "share").sortWithinPartitions("group", "share", "role", "doc").select("group", "share", "role", "doc", "text")
 
     def confirm(batches):
@@ -263,7 +264,7 @@ def _links(docs, members, id_col, text_col):
             yield _pairs_out(pairs)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = _blocks(members.join(texts, "doc_id"), "family", "members", SET_BLOCK).select("family", "block", "component", "side", "text")
+    rows = _blocks(members.hint("merge").join(texts, "doc_id"), "family", "members", SET_BLOCK).select("family", "block", "component", "side", "text")
     return rows.mapInArrow(compare, "u long, v long").distinct()
 
 
@@ -314,4 +315,4 @@ def near_duplicates(docs, id_col="doc_id", text_col="text"):
 def drop_near_duplicates(docs, id_col="doc_id", text_col="text"):
     """One row of each component, with all its columns: the one with the smallest id."""
     dropped = near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(dropped, id_col, "left_anti").select(*docs.columns)
+    return docs.join(dropped.hint("merge"), id_col, "left_anti").select(*docs.columns)
