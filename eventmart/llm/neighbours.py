@@ -1,11 +1,13 @@
 """Nearest neighbours by inner product through robust-pruned directed graphs, one per shard.
 
-Equal vectors are one point that knows its smallest ids, as many as a result can show. Points are dealt to shards
-of at most SHARD points by a hash, and each shard becomes a graph of DEGREE edges per node: points arrive in
+Equal vectors are one point that knows its smallest ids, as many as a result can show. Points are dealt to bands
+of length, each up to twice as long as its shortest point, and within a band by a hash to shards of about SHARD
+points. Each shard becomes a graph of DEGREE edges per node: points arrive in
 batches, a greedy search over the graph so far proposes neighbours, and pruning keeps the near ones
 that no kept one covers: a candidate goes where a kept neighbour is nearer to it by more than the
 factor SPREAD. Edges are added backwards as well, and full nodes are pruned the same way. An extra coordinate
-makes all points of a shard equally long, so that near means a large inner product.
+makes all points of a shard equally long, so that near means a large inner product. Within a band it leaves the
+points' own distances well above single precision, however long the points of other bands are.
 
 Graphs are stored. Every query then visits every shard: in each, a beam of BEAM nodes is expanded until
 none of it is unexpanded, and the beam's points are scored in double precision on the vectors as given. Queries
@@ -112,6 +114,7 @@ def pruned(points, owners, candidates, degree=DEGREE):
 
 def lengthened(vectors):
     """Vectors with one more coordinate that makes them equally long, in single precision."""
+    vectors = vectors / np.abs(vectors).max()  # so that squares neither overflow nor vanish
     squares = (vectors ** 2).sum(1)
     extra = np.sqrt(np.maximum(squares.max() - squares, 0))
     scale = 1 / np.sqrt(squares.max())
@@ -154,22 +157,32 @@ def search(vectors, points, graph, start, queries, beam=BEAM):
     n = len(vectors)
     if n <= beam:
         return np.broadcast_to(np.arange(n), (len(queries), n))
+    queries = queries / np.abs(queries).max(axis=1, keepdims=True)  # a query's length does not change its order
     asked = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
     return np.concatenate([beam_search(points, graph, start, asked[i:i + TOGETHER], beam)[0] for i in range(0, len(asked), TOGETHER)])
 
 
-def index_table(points, shards):
-    """dim, shard, graph (blob): one row per shard, stored."""
+def band():
+    """Number of the band of length of the column `vector`: log2 of the length, to the nearest whole number, so that
+    vectors scaled to length 1 lie in the middle of a band."""
+    longest = F.array_max(F.transform("vector", F.abs))
+    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + (x / longest) * (x / longest))
+    return F.round(F.log2(longest) + F.log2(squares) / 2).cast("int")
+
+
+def index_table(points, places):
+    """dim, band, shard, graph (blob): one row per shard, stored."""
     def build(table):
         vectors = np.array(table.column("vector").to_pylist(), np.float64)
         ids = table.column("ids").to_pylist()
         graph, start = build_graph(vectors) if len(vectors) > BEAM else (np.zeros((0, DEGREE), np.int64), 0)
         blob = pack(np.array(vectors.shape), vectors.ravel(), graph.astype(np.int32).ravel(), np.array([start]),
                     np.cumsum([0, *map(len, ids)]), np.array([x for i in ids for x in i], np.int64))
-        return pa.table({"dim": table.column("dim")[:1], "shard": table.column("shard")[:1], "graph": pa.array([blob], pa.binary())})
+        return pa.table({"dim": table.column("dim")[:1], "band": table.column("band")[:1], "shard": table.column("shard")[:1], "graph": pa.array([blob], pa.binary())})
 
-    dealt = points.withColumn("dim", F.size("vector")).withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
-    return stored(dealt.groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, graph binary"), "graphs")
+    dealt = points.join(places, ["dim", "band"]).withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")).cast("int"))
+    rows = dealt.select("dim", "band", "shard", "vector", "ids")
+    return stored(rows.groupBy("dim", "band", "shard").applyInArrow(build, "dim int, band int, shard int, graph binary"), "graphs")
 
 
 FOUND = [("query_id", pa.int64()), ("query_key", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]
@@ -199,30 +212,31 @@ def nearest(vectors, is_query, k=20, id_col="vec_id", vector_col="embedding", sh
     rows = stored(usable(vectors, id_col, vector_col), "vectors")
     smallest = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     few = rows.withColumn("n", smallest).where(F.col("n") <= k + 1)  # a query may be one of them
-    points = stored(few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "points")
-    shards = -(-points.count() // shard) or 1
-    index = index_table(points, shards)
+    points = few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    points = stored(points.withColumn("dim", F.size("vector")).withColumn("band", band()), "points")
+    places = stored(points.groupBy("dim", "band").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards")), "places")
+    index = index_table(points, places)
     queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.xxhash64("vector").alias("query_key"), "vector", F.size("vector").alias("dim"))
     shares = -(-queries.count() // QUERIES) or 1
     share = F.pmod(F.xxhash64("query_id", "query_key"), F.lit(shares)).cast("int")
-    asked = queries.select(
-        "dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), share.alias("share"), F.lit(1).alias("kind"),
+    asked = queries.join(places, "dim").select(
+        "dim", "band", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), share.alias("share"), F.lit(1).alias("kind"),
         F.lit(None).cast("binary").alias("graph"), "query_id", "query_key", "vector")
     known = index.select(
-        "dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), F.lit(0).alias("kind"), "graph",
+        "dim", "band", "shard", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), F.lit(0).alias("kind"), "graph",
         F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("long").alias("query_key"), F.lit(None).cast("array<double>").alias("vector"))
-    place = ["dim", "shard", "share"]
+    place = ["dim", "band", "shard", "share"]
     met = known.unionByName(asked).repartition(*place).sortWithinPartitions(*place, "kind")
 
     def answer(batches):
         graph = at = None
         for batch in batches:
-            where = list(zip(*[batch.column(i).to_pylist() for i in range(3)]))
-            kind = batch.column(3).to_pylist()
+            where = list(zip(*[batch.column(i).to_pylist() for i in range(4)]))
+            kind = batch.column(4).to_pylist()
             i = 0
             while i < len(where):
                 if kind[i] == 0:
-                    shape, flat, edges, start, first, ids = unpack(batch.column(4)[i].as_buffer())
+                    shape, flat, edges, start, first, ids = unpack(batch.column(5)[i].as_buffer())
                     flat = flat.reshape(shape)
                     graph, at = (flat, lengthened(flat), edges.reshape(-1, DEGREE).astype(np.int64), int(start[0]), first, ids), where[i]
                     i += 1
@@ -231,8 +245,8 @@ def nearest(vectors, is_query, k=20, id_col="vec_id", vector_col="embedding", sh
                 while upto < len(where) and kind[upto] == 1 and where[upto] == where[i] and upto - i < TOGETHER:
                     upto += 1
                 if where[i] == at:
-                    asked_ = np.array(batch.column(7)[i:upto].to_pylist(), np.float64)
-                    yield _answers(graph, batch.column(5)[i:upto].to_numpy(), batch.column(6)[i:upto].to_numpy(), asked_, k)
+                    asked_ = np.array(batch.column(8)[i:upto].to_pylist(), np.float64)
+                    yield _answers(graph, batch.column(6)[i:upto].to_numpy(), batch.column(7)[i:upto].to_numpy(), asked_, k)
                 i = upto
 
     found = met.mapInArrow(answer, "query_id long, query_key long, vec_id long, score double")

@@ -287,6 +287,24 @@ def test_neighbours_over_shards_with_copies(spark):
     assert found >= 0.95 * 45 * 20 and len(got) == 45 * 20
 
 
+def test_neighbours_of_very_different_lengths(spark):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(2000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[1:5] *= np.array([[1e3], [3e3], [1e6], [1e-3]])
+    x[20] *= 1e150  # a query of any length
+    vectors = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(vectors, F.col("vec_id") % 20 == 0).toPandas()
+    found = 0
+    for q in range(0, 2000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        best = np.lexsort((np.arange(2000), -s))[:20]
+        found += len(set(best) & set(got[got.query_id == q].vec_id))
+    assert found >= 0.95 * 100 * 20 and len(got) == 100 * 20
+
+
 def test_chat(spark):
     said = [(1, 1, "assistant", "a\\b ### </turn>"), (1, 0, "user", None), (2, 0, None, "\\"), (2, None, "assistant", ""),
             (None, 0, "a: b\\", "é\U0001f600\n"), (1, 1, "assistant", "a\\b ### </turn>"), (3, 0, "assistant", "x" * 2_500_000), (3, 1, "assistant", "</turn>\n### assistant: ")]
