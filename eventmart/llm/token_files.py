@@ -29,6 +29,8 @@ from eventmart.llm.tokens import encoder, row_slices
 MANIFEST = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("docs", T.LongType()), T.StructField("tokens", T.LongType()),
     T.StructField("without_id", T.LongType()), T.StructField("id_bytes", T.IntegerType())])
+RANGE = 1 << 14  # documents that are read at once
+TASKS = 10_000   # that read
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -84,37 +86,45 @@ def write_token_files(docs, folder, tokenizer_path, end_id, id_bytes, id_col="do
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
-def mapped(folder, name):
-    """A file as an Arrow buffer: memory-mapped where the store is a mounted file system."""
+def mapped(folder, name, number, first, upto):
+    """Numbers `first` to `upto` of a file: memory-mapped where the store is a mounted file system."""
     fs, root = file_system(folder)
-    if isinstance(fs, pafs.LocalFileSystem):
-        return pa.memory_map(f"{root}/{name}").read_buffer()
-    return fs.open_input_file(f"{root}/{name}").read_buffer()
+    width = np.dtype(number).itemsize
+    path = f"{root}/{name}"
+    with pa.memory_map(path) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(path) as file:
+        file.seek(first * width)
+        return np.frombuffer(file.read_buffer((upto - first) * width), number)
 
 
-def read_part(folder, part, id_bytes):
-    """(document ids, offsets, token ids) of a part as arrays over its mapped files."""
-    return (np.frombuffer(mapped(folder, f"{part}.ids"), "<i8"), np.frombuffer(mapped(folder, f"{part}.idx"), "<i8"),
-            np.frombuffer(mapped(folder, f"{part}.bin"), f"<u{id_bytes}"))
+def read_part(folder, part, id_bytes, first, upto):
+    """(document ids, offsets, token ids) of the documents `first` to `upto` of a part."""
+    offsets = mapped(folder, f"{part}.idx", "<i8", first, upto + 1)
+    return (mapped(folder, f"{part}.ids", "<i8", first, upto), offsets,
+            mapped(folder, f"{part}.bin", f"<u{id_bytes}", int(offsets[0]), int(offsets[-1])))
 
 
-def read_token_files(spark, folder, step=4096):
-    """Per document, from the files: doc_id, start, n_tokens, ids_crc32."""
+def read_token_files(spark, folder, step=4096, docs=RANGE):
+    """Per document, from the files: doc_id, start, n_tokens, ids_crc32. A part is read in ranges of `docs` documents."""
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+    ranges = manifest.agg(F.sum(F.ceil(F.col("docs") / docs))).first()[0] or 1
     # a row per part, so bounded by the number of files
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
+    # a number of partitions that is given is not coalesced, however small the rows are
+    dealt = based.withColumn("first", F.explode(F.sequence(F.lit(0), F.col("docs") - 1, F.lit(docs)))).repartition(int(min(ranges, TASKS)), "part", "first")
 
     def read(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                doc_ids, offsets, ids = read_part(folder, row["part"], row["id_bytes"])
-                for a in range(0, row["docs"], step):
-                    b = min(a + step, row["docs"])
-                    crcs = [zlib.crc32(ids[offsets[i]:offsets[i + 1]].astype("<u4")) for i in range(a, b)]
+                first, upto = row["first"], min(row["first"] + docs, row["docs"])
+                doc_ids, offsets, ids = read_part(folder, row["part"], row["id_bytes"], first, upto)
+                at = offsets - offsets[0]
+                for a in range(0, upto - first, step):
+                    b = min(a + step, upto - first)
+                    crcs = [zlib.crc32(ids[at[i]:at[i + 1]].astype("<u4")) for i in range(a, b)]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(doc_ids[a:b], mask=np.arange(a, b) < row["without_id"]),
+                        pa.array(doc_ids[a:b], mask=np.arange(first + a, first + b) < row["without_id"]),
                         pa.array(offsets[a:b] + row["base"]), pa.array(np.diff(offsets[a:b + 1])), pa.array(crcs, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return based.repartition("part").mapInArrow(read, DOCUMENTS)
+    return dealt.mapInArrow(read, DOCUMENTS)

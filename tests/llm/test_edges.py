@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from eventmart.llm import chat, exact_dedup, lm, mixing, near_dedup, neighbours, packing, quality, substring_dedup, token_files
-from eventmart.session import work_dir
+from eventmart.session import session_conf, work_dir
 from tests.llm import brute
 from tests.llm.helpers import by_id, documents
 
@@ -235,6 +235,19 @@ def test_token_files(spark, docs, tokenizer):
     assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
 
 
+def test_token_files_are_read_by_several_tasks(spark, tokenizer):
+    folder = work_dir(spark, "tokens")
+    rows = documents(spark, [(i, f"one two {i}") for i in range(1000)]).unionByName(documents(spark, NULL_ID))
+    with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        token_files.write_token_files(rows, folder, tokenizer, 1, 4).count()
+    got = token_files.read_token_files(spark, folder)
+    assert got.select(F.spark_partition_id()).distinct().count() > 1
+    whole = sorted(map(tuple, got.collect()), key=str)
+    small = token_files.read_token_files(spark, folder, step=3, docs=7)
+    assert small.withColumn("task", F.spark_partition_id()).select("task").distinct().count() > 20
+    assert sorted(map(tuple, small.collect()), key=str) == whole and len(whole) == 1002
+
+
 def test_quality_of_odd_rows(spark, docs):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, None, 1), (None, 1, None), (4, 1, 0), (4, 0, 0)], "doc_id long, quality int, toxic int")
     got = quality.quality_scores(docs.unionByName(documents(spark, NULL_ID)), labels).collect()
