@@ -3,7 +3,10 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, exact_dedup, lm, mixing, near_dedup, neighbours, oracles, packing, quality, substring_dedup, token_files
+from eventmart.llm import (
+    chat, decontamination, exact_dedup, filter_audit, hard_negatives, lm, mixing, near_dedup, neighbours, oracles, packing, quality,
+    substring_dedup, token_files,
+)
 from eventmart.llm.common import table
 from eventmart.session import work_dir
 
@@ -73,3 +76,19 @@ def op9_exact_dedup(spark, sf_dir):
 @query("op10_chat_format", oracles.CHAT_FORMAT)
 def op10_chat_format(spark, sf_dir):
     return chat.digests(chat.formatted(chat.with_probe(table(spark, sf_dir, "conversations"))))
+
+
+@query("op11_filter_audit", oracles.FILTER_AUDIT)
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_decontamination", oracles.DECONTAMINATION)
+def op12_decontamination(spark, sf_dir):
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_hard_negatives", oracles.HARD_NEGATIVES)
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
