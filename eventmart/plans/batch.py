@@ -144,20 +144,26 @@ def line_publish_records(spark, sf_dir):
 BLANK_LINE_SQL = EVENT_LINE_SQL.replace("event_timestamp", "' ' || event_timestamp")
 
 
-@query("event_csv_quarantine", oracle.with_events(f"""
+OUTCOMES_SQL = f"""SELECT * FROM (
     SELECT line AS value, CASE WHEN len(cells) >= 10 AND TRY_CAST(cells[3] AS BIGINT) IS NOT NULL AND NOT regexp_matches(cells[3], '\\s')
         AND TRY_CAST(cells[6] AS DOUBLE) IS NOT NULL AND TRY_CAST(cells[9] AS DOUBLE) IS NOT NULL
         AND TRY_CAST(cells[10] AS DOUBLE) IS NOT NULL THEN 'event' ELSE 'reject' END AS outcome
     FROM (SELECT line, string_split(line, ',') AS cells
           FROM (SELECT {EVENT_LINE_SQL} AS line FROM app_event UNION ALL SELECT line FROM lines
-                UNION ALL SELECT {BLANK_LINE_SQL} FROM app_event WHERE event_type = 'buy'))""", LINES))
-def event_csv_quarantine(spark, sf_dir):
+                UNION ALL SELECT {BLANK_LINE_SQL} FROM app_event WHERE event_type = 'buy')))"""
+
+
+def mixed_lines(spark, sf_dir):
     """Event lines mixed with the lines of all documents and with lines whose whole numbers have blanks."""
     events = app_events(spark, sf_dir)
     blank = events.where(F.col("event_type") == BUY).select(
         event_line({"event_timestamp": F.concat(F.lit(" "), F.col("event_timestamp").cast("string"))}).alias("value"))
-    lines = events.select(event_line().alias("value")).unionByName(document_lines(spark, sf_dir)).unionByName(blank)
-    return parse_events_outcomes(lines).select("value", "outcome")
+    return events.select(event_line().alias("value")).unionByName(document_lines(spark, sf_dir)).unionByName(blank)
+
+
+@query("event_csv_quarantine", oracle.with_events(OUTCOMES_SQL, LINES))
+def event_csv_quarantine(spark, sf_dir):
+    return parse_events_outcomes(mixed_lines(spark, sf_dir)).select("value", "outcome")
 
 
 @query("java_string_hash", f"SELECT doc_id, {oracle.hash_sql('text')} AS hash FROM documents")

@@ -23,8 +23,8 @@ from eventmart.sources.adapter import app_events, document_lines
 from eventmart.sources.open import open_events, open_marts
 from eventmart.sources.tables import text_lines
 from eventmart.storage.compaction import CompactingTable
-from eventmart.storage.documents import index_documents
 from eventmart.storage.files import Files
+from eventmart.storage.index_sink import FolderIndex, committed, write_index
 from eventmart.storage.layouts import copy_table, write_keyed
 from eventmart.storage.salted import read_salted, write_salted
 from eventmart.storage.upsert import KeyedTable
@@ -198,15 +198,8 @@ def text_folder_records(spark, sf_dir):
 @query("indexed_documents", oracle.with_events("""
     SELECT CAST(count(*) AS BIGINT) AS documents, true AS batches_hold_100_at_most FROM app_event"""))
 def indexed_documents(spark, sf_dir):
-    """Documents handed to the sender of the document sink, counted by it through an accumulator."""
-    largest = spark.sparkContext.accumulator(0)
-    sent = spark.sparkContext.accumulator(0)
-
-    def send(batch):
-        sent.add(len(batch))
-        if len(batch) > 100:
-            largest.add(1)
-        return "sent"
-
-    index_documents(event_documents(app_events(spark, sf_dir)), send, batch_size=100)
-    return spark.createDataFrame([(sent.value, largest.value == 0)], "documents long, batches_hold_100_at_most boolean")
+    """Documents sent to an index, as its commit counted them."""
+    index = FolderIndex(work_dir(spark, "index"))
+    write_index(event_documents(app_events(spark, sf_dir)), index, batch_size=100)
+    counts = committed(spark, index.path).agg(F.sum("documents").alias("documents"), F.max("largest").alias("largest"))
+    return counts.select("documents", (F.col("largest") <= 100).alias("batches_hold_100_at_most"))

@@ -43,6 +43,17 @@ def document_lines(spark, sf_dir):
     return documents.select(F.explode(F.split("text", "\r\n|\n|\r")).alias("value"))
 
 
+def stage_lines(lines, path, batches=4):
+    """Write lines (`value`) as records without a key, with coordinates, in files for about `batches` micro-batches; the
+    number of files per micro-batch. Records are numbered within the partition that wrote them."""
+    placed = lines.select("value", F.monotonically_increasing_id().alias("place"))
+    records = placed.select(
+        F.lit(None).cast("string").alias("key"), "value", F.timestamp_millis(F.lit(0)).alias("timestamp"), F.lit("lines").alias("topic"),
+        F.shiftright("place", 33).cast("int").alias("partition"), F.col("place").bitwiseAND((1 << 33) - 1).alias("offset"))
+    records.write.parquet(path)
+    return max(1, -(-len(lines.sparkSession.read.parquet(path).inputFiles()) // batches))
+
+
 def stage_topic(spark, sf_dir, path, batches=4, repeats=False):
     """Write the events as key/value CSV records with coordinates, in enough files for about `batches` micro-batches.
 

@@ -1,4 +1,4 @@
-"""The four ingestion jobs. Each takes a record stream (key, value, coordinates) and starts its queries.
+"""The ingestion jobs. Each takes a record stream (key, value, coordinates) and starts its queries.
 
 Marts are running totals that never expire: there is no watermark, so an event arrives late at no
 cost but its state. Totals survive a restart through the checkpoint, and every sink is keyed by
@@ -28,7 +28,10 @@ from eventmart.storage.compaction import CompactingTable
 from eventmart.storage.documents import index_documents
 from eventmart.storage.files import Files
 from eventmart.storage.layouts import table_schema, to_file_layout
+from eventmart.storage.index_sink import register_index
 from eventmart.storage.upsert import KeyedTable
+from eventmart.streaming.quarantine import outcomes, reject_table, split_sink
+from eventmart.streaming.state import running_mart
 
 PARTITIONS = "spark.sql.shuffle.partitions"
 
@@ -102,6 +105,27 @@ def run_marts(records, marts_path, checkpoint, seconds=None, compact_every=0, st
     return _start(marts, sink, f"{checkpoint}/marts", seconds, "update", state_partitions)
 
 
+def run_seeded_marts(records, marts_path, checkpoint, seed=None, every_key=True, seconds=None, compact_every=0, state_partitions=None):
+    """Running marts that start from the totals of a stored mart, where `seed` is given with the first start.
+
+    With `every_key` each batch stores all keys, changed or not, so the last batch alone is the whole mart; such a query
+    has something to do as long as it runs, and `finish_idle` ends a bounded one.
+    """
+    marts = running_mart(event_stream(records), seed, every_key)
+    sink = _into(mart_table(records.sparkSession, marts_path), compact_every)
+    return _start(marts, sink, f"{checkpoint}/seeded", seconds, "update", state_partitions)
+
+
+def run_quarantined(records, events_path, rejects_path, checkpoint, seconds=None):
+    """Events into a keyed table and malformed records into another, parsed once; no record stops the job.
+
+    `quarantine.OutcomeCounts` listens to how many of each a batch had.
+    """
+    spark = records.sparkSession
+    sink = split_sink(event_table(spark, events_path), reject_table(spark, rejects_path))
+    return _start(outcomes(records), sink, f"{checkpoint}/quarantined", seconds, "append")
+
+
 def run_wide(records, events_path, marts_path, num_salts, checkpoint, seconds=None, compact_every=0, state_partitions=None):
     """Events and running marts as salted wide rows, in two tables."""
     spark = records.sparkSession
@@ -145,6 +169,27 @@ def run_docs(records, checkpoint, send=None, table_path=None, batch_size=100, re
     return _start(documents, sink, f"{checkpoint}/docs", seconds, "append")
 
 
+def run_index(records, checkpoint, index, seconds=None, **rules):
+    """Events as search documents into an index that commits every batch (`storage.index_sink`)."""
+    documents = event_documents(event_stream(records))
+    name = register_index(records.sparkSession, index, **rules)
+    trigger = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
+    writer = documents.writeStream.format(name).outputMode("append").option("checkpointLocation", f"{checkpoint}/index")
+    return writer.trigger(**trigger).start()
+
+
+def finish_idle(query, timeout=None):
+    """End a query whose timers never rest, after the first batch without input."""
+    deadline = None if timeout is None else time.monotonic() + timeout
+    while not query.awaitTermination(0.2):
+        progress = query.lastProgress
+        if progress is not None and progress.batchId > 0 and progress.numInputRows == 0:
+            query.stop()
+        elif deadline is not None and time.monotonic() > deadline:
+            query.stop()
+            raise TimeoutError(f"query {query.id} did not finish within {timeout} seconds")
+
+
 def finish(queries, timeout=None):
     """Wait for bounded queries, however long they take. When one fails, or after `timeout` seconds where that is
     given, all queries of the job are stopped and the error is raised.
