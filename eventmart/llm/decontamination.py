@@ -100,8 +100,9 @@ def _anchors(classes, class_words, window):
 
 
 def _alignments(postings, anchors):
-    """(class, doc, diag) where two rarest words of a window agree; word `at` of the class lies at diag + at."""
-    starts = postings.join(_bounded(anchors), F.col("term") == F.col("term1")).where("pos > at1")
+    """(class, doc, diag) where two rarest words of a window agree; word `at` of the class lies at diag + at, which is before
+    the document's start for the first words where a window from inside an item begins a document."""
+    starts = postings.join(_bounded(anchors), F.col("term") == F.col("term1"))
     starts = starts.select("class", "doc", (F.col("pos") - F.col("at1")).alias("diag"), "at2", "term2").distinct()
     wanted = starts.select("class", "doc", "diag", F.col("term2").alias("term"), (F.col("diag") + F.col("at2")).alias("pos"))
     seconds = postings.join(_bounded(anchors.select(F.col("term2").alias("term")).distinct()), "term", "left_semi")
