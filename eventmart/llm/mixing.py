@@ -127,10 +127,10 @@ def mixed_documents(docs, id_col="doc_id", text_col="text", source_col="source",
     """The rows of the mix, each as often as it was taken, with the columns of the input."""
     taken = fair_mix(docs, id_col, text_col, source_col, passes)
     # rows that share id, source and size are taken alike
-    counts = taken.where("copies > 0").groupBy(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(
-        F.max("copies").alias("_copies"))
+    key = ["doc_id", "source", "size"]
+    counts = taken.where("copies > 0").groupBy(*key).agg(F.max("copies").alias("copies")).select(*[F.col(c).alias(f"taken_{c}") for c in key], "copies")
     size = F.regexp_count(whole_text(text_col), F.lit(WORD_PATTERN)).cast("long")
-    match = (F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source")) & (size == F.col("_size")))
-    joined = docs.join(counts, match)
-    return joined.select(*[F.col(c) for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy")).drop("_copy")
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"))
+    match = (F.col("doc_id").eqNullSafe(F.col("taken_doc_id")) & F.col("source").eqNullSafe(F.col("taken_source")) & (F.col("size") == F.col("taken_size")))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return whole.join(counts, match).select("row", copies.alias("copy")).select("row.*")

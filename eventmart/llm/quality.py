@@ -31,7 +31,6 @@ BATCH = 64
 RATE = 0.05
 PENALTY = 1e-5
 THRESHOLD = 0.3
-SCORE = "_quality_score"
 STATISTICS = ["upper", "digit", "mark", "newline", "beyond ascii", "odd mark", "word length", "long word", "one byte word", "distinct words", "characters", "words"]
 BUCKETS = 1 << BUCKET_BITS
 FEATURES = BUCKETS + BINS * len(STATISTICS)
@@ -156,9 +155,9 @@ def fold(id_col="doc_id", folds=5):
 def train(docs, labels, id_col="doc_id", text_col="text", label_col="quality", rows=TRAIN_ROWS):
     """A machine fitted on labelled rows outside the held-out fold."""
     labelled = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != 0))
-                .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("_label")))
-    sample = labelled.orderBy(F.xxhash64("_id"), "_id").limit(rows)  # so bounded, and small enough to broadcast
-    texts = docs.join(F.broadcast(sample), F.col(id_col) == F.col("_id")).select("_id", "_label", F.col(text_col).alias("_text"))
+                .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("label")))
+    sample = labelled.orderBy(F.xxhash64("id"), "id").limit(rows)  # so bounded, and small enough to broadcast
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").select("id", "label", "text")
 
     def extract(batches):
         hasher = Hasher()
@@ -182,32 +181,26 @@ def train(docs, labels, id_col="doc_id", text_col="text", label_col="quality", r
 
 
 def score(docs, machine, carried, text_col="text"):
-    """The columns `carried` of every row and its score, as column SCORE."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(machine.packed())
-    rows = docs.select(F.col(text_col).alias("_text"), *carried)
-    at = rows.columns.index(text_col) if text_col in rows.columns else 0
-    rows = rows.drop("_text") if at else rows
-    schema = T.StructType([f for f in rows.schema if f.name != "_text"]).add(SCORE, "double")
-    skip, at = (0, at - 1) if at else (1, 0)
+    """One column, `carried`, of every row and its score: columns `carried` and `score`."""
+    model = docs.sparkSession.sparkContext.broadcast(machine.packed())
+    rows = docs.select(F.col(text_col).alias("text"), carried.alias("carried"))
+    schema = T.StructType([rows.schema["carried"], T.StructField("score", T.DoubleType())])
 
     def apply(batches):
         known, hasher = Machine.unpacked(model.value), Hasher()
         for batch in batches:
-            for a, b, words in slices(batch.column(at), hasher):
-                columns = [batch.column(i)[a:b] for i in range(skip, batch.num_columns)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(known.scores(*features(words)))], schema.names)
+            for a, b, words in slices(batch.column(0), hasher):
+                yield pa.RecordBatch.from_arrays([batch.column(1)[a:b], pa.array(known.scores(*features(words)))], schema.names)
 
     return rows.mapInArrow(apply, schema)
 
 
 def quality_scores(docs, labels, threshold=THRESHOLD):
     """Per document: doc_id, held_out, score, predicted."""
-    scored = score(docs, train(docs, labels), ["doc_id", (fold() == 0).alias("held_out")])
-    return scored.withColumnRenamed(SCORE, "score").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = score(docs, train(docs, labels), F.struct("doc_id", (fold() == 0).alias("held_out")))
+    return scored.select("carried.*", "score").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_good(docs, labels, threshold=THRESHOLD):
     """The rows that the classifier accepts, with all their columns."""
-    machine = train(docs, labels)
-    return score(docs, machine, docs.columns).where(F.col(SCORE) >= threshold).drop(SCORE)
+    return score(docs, train(docs, labels), F.struct("*")).where(F.col("score") >= threshold).select("carried.*")

@@ -53,7 +53,10 @@ class _Part:
     def add(self, doc_ids, ids):
         """Documents as lists of ids (or None) and of 32-bit id strings."""
         lengths = np.array([len(x) // 4 for x in ids], "<i8")
-        self._out["bin"].write(np.frombuffer(b"".join(ids), "<u4").astype(self._type).tobytes())
+        numbers = np.frombuffer(b"".join(ids), "<u4")
+        if int(numbers.max(initial=0)) > np.iinfo(self._type).max:
+            raise ValueError(f"id {numbers.max()} does not fit into {np.dtype(self._type).itemsize} bytes")
+        self._out["bin"].write(numbers.astype(self._type).tobytes())
         self._out["idx"].write((self.tokens + np.cumsum(lengths)).astype("<i8").tobytes())
         self._out["ids"].write(np.array([x or 0 for x in doc_ids], "<i8").tobytes())
         self.docs += len(ids)
