@@ -7,7 +7,10 @@ The template language has text, `{{ expression }}`, `{% for x in y %}`, `{% if %
 nothing can be called but the filters handed in, and no loop runs over anything but given values.
 
 Source is parsed into a tree, constant parts are folded, and each node becomes a Python closure that
-yields (text, marked) pieces, so a conversation is rendered turn by turn, however many turns it has.
+yields (text, marked) pieces. A template renders a whole conversation: what stands before and after its loop comes once,
+and `loop.index`, `.index0`, `.first` and `.last` count through all turns. Where `messages` is only the source of one
+outermost loop, as in most templates, turns stream through it, however many there are; a template that looks at
+`messages` in any other way gets the conversation's turns as a list.
 
 Texts keep their control strings apart by a backslash: a backslash becomes two, and one is put before each control
 string. In a formatted conversation the first `</turn>` that no backslash escapes is therefore the
@@ -279,7 +282,7 @@ def _renderer(body, filters, marked=False):
         elif node[0] == "if":
             steps.append(_branches([(_closure(t, filters), _renderer(b, filters, marked)) for t, b in node[1]]))
         else:
-            steps.append(_loop(node[1], _closure(node[2], filters), _renderer(node[3], filters, marked)))
+            steps.append(_loop(node[1], _closure(node[2], filters), _renderer(node[3], filters, marked), node[2] == MESSAGES))
 
     def render(scope):
         for step in steps:
@@ -296,15 +299,49 @@ def _branches(branches):
     return render
 
 
-def _loop(name, values, body):
+MESSAGES = ("name", "messages")
+TURN_END = ("", None)  # the piece after each turn of a loop over the messages
+
+
+def _loop(name, values, body, over_messages):
     def render(scope):
-        for i, value in enumerate(values(scope) or ()):
-            yield from body({**scope, name: value, "loop": {"index": i + 1, "index0": i, "first": i == 0}})
+        given = iter(values(scope) or ())
+        ahead = next(given, STOP)
+        i = 0
+        while ahead is not STOP:
+            value, ahead = ahead, next(given, STOP)
+            yield from body({**scope, name: value, "loop": {"index": i + 1, "index0": i, "first": i == 0, "last": ahead is STOP}})
+            if over_messages:
+                yield TURN_END
+            i += 1
     return render
 
 
+STOP = object()
+
+
+def _places(body, inside=False):
+    """For each mention of the messages in a tree: whether it is the source of an outermost loop."""
+    if body == MESSAGES:
+        yield False
+    elif isinstance(body, tuple) and body[:1] == ("for",):
+        if body[2] == MESSAGES:
+            yield not inside
+        else:
+            yield from _places(body[2], inside)
+        yield from _places(body[3], True)
+    elif isinstance(body, (tuple, list)):
+        for part in body:
+            yield from _places(part, inside)
+
+
+def takes_a_stream(source, filters=FILTERS):
+    """Whether a template goes through the messages once, so that an iterator will do."""
+    return list(_places(fold_body(parse(source), filters))) in ([True], [])
+
+
 def compile_template(source, filters=FILTERS):
-    """A function of the context that yields (text, marked) pieces in order."""
+    """A function of the context that yields (text, marked) pieces in order, and TURN_END after each turn."""
     return _renderer(fold_body(parse(source), filters), filters)
 
 
@@ -335,7 +372,8 @@ CHUNKS = pa.schema([("conv_id", pa.int64()), ("chunk", pa.int64()), ("text", pa.
 
 
 def formatted(conversations, template=TEMPLATE, id_col="conv_id", turn_col="turn", role_col="role", text_col="text"):
-    """Formatted conversations in chunks of whole turns: conv_id, chunk, text, loss (spans in code points).
+    """Formatted conversations in chunks of whole turns: conv_id, chunk, text, loss (spans in code points). What a
+    template has before its turns is in the first chunk, what it has after them in the last.
 
     Rows stay ordered by conversation and chunk, and a conversation stays in one partition; a conversation streams
     through its task turn by turn.
@@ -345,16 +383,16 @@ def formatted(conversations, template=TEMPLATE, id_col="conv_id", turn_col="turn
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
 
     def render(batches):
-        run, out, size = compile_template(template), [], 0
+        run, streams, out, size = compile_template(template), takes_a_stream(template), [], 0
         for conv_id, turns in _messages(batches):
             chunk, parts, loss, at = 0, [], [], 0
-            for turn in turns:
-                for text, marked in run({"messages": (turn,)}):
+            for text, marked in run({"messages": turns if streams else list(turns)}):
+                if marked is not None:
                     if marked and text:
                         loss.append([at, at + len(text)])
                     parts.append(text)
                     at += len(text)
-                if at >= CHUNK:
+                elif at >= CHUNK:
                     out.append({"conv_id": conv_id, "chunk": chunk, "text": "".join(parts), "loss": loss})
                     size += at
                     chunk, parts, loss, at = chunk + 1, [], [], 0
@@ -377,7 +415,7 @@ MARK = re.compile(r"\\.|</turn>|: ", re.S)
 
 
 def turns_of(text):
-    """(role, text) of each turn of a formatted text."""
+    """(role, text) of each turn of a text formatted by TEMPLATE; other templates mark their turns in other ways."""
     at = 0
     while at < len(text):
         if not text.startswith(START, at):

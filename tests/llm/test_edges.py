@@ -58,11 +58,36 @@ def test_exact_copies_without_ids_and_repeated(spark):
     assert kept.columns == documents(spark, rows).columns
 
 
+def test_rounds_follow_the_number_of_rows(spark):
+    assert [exact_dedup.rounds_for(n) for n in (0, 1 << 24, (1 << 24) + 1, 10**12)] == [2, 2, 3, 6]
+    rows = documents(spark, [(i, f"text {i % 900}") for i in range(2000)], clashing=False).repartition(16)
+    digests, rounds = exact_dedup.digest_table(rows, rounds=3)
+    assert rounds == 3 and digests.select("run").distinct().count() > 256
+    assert exact_dedup.exact_copies(rows, rounds=3).where("kept").count() == 900
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Names that the stages use themselves, and used to."""
+    names = ["_id", "_label", "_quality_score", "_text", "_source", "_size", "_copies", "_copy", "_keep_id", "_key_digest", "row", "key", "id", "label",
+             "carried", "taken_doc_id", "shared_id", "kept_id", "kept_digest", "copy", "rows", "digests", "keep_id", "verifier", "pass", "machine"]
+    good = " ".join(f"fine word{i} and" for i in range(30))
+    rows = [(i, f"{good} {i}" if i else good, "s") for i in range(6)] + [(6, f"{good} 1", "s"), (None, f"{good} 2", "s"), (None, "alone", "t"), (4, f"{good} 4", "s")]
+    docs = documents(spark, rows).withColumns({n: F.concat(F.lit(n), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) for n in names})
+    labels = spark.createDataFrame([(i, 1) for i in range(6)], "doc_id long, quality int").withColumn("_id", F.lit(1)).withColumn("label", F.lit(1))
+    for stage in (lambda d: quality.keep_good(d, labels), exact_dedup.drop_copies, near_dedup.drop_near_duplicates, mixing.mixed_documents):
+        kept = stage(docs)
+        assert kept.columns == docs.columns
+        found = kept.collect()
+        assert found and all(r[n] == n + ("" if r.doc_id is None else str(r.doc_id)) for r in found for n in names)
+    assert sorted((r.doc_id or -1) for r in exact_dedup.drop_copies(docs).collect()) == [-1, -1, 1, 2, 3, 4, 5]
+    assert quality.quality_scores(docs, labels).count() == len(rows)
+
+
 def test_many_copies_take_few_rows_per_run(spark):
     rows = [(i, "the same text") for i in range(3000)] + [(i, f"text {i}") for i in range(3000, 4000)]
     got = exact_dedup.exact_copies(documents(spark, rows, clashing=False))
     assert got.where("kept").count() == 1001 and got.where("group_size = 3000").count() == 3000
-    _, last = exact_dedup.merged_runs(exact_dedup.digest_table(documents(spark, rows, clashing=False)))
+    _, last = exact_dedup.merged_runs(*exact_dedup.digest_table(documents(spark, rows, clashing=False)))
     assert last.count() == 1001
 
 
@@ -341,6 +366,10 @@ def test_template_language():
     assert run("{% for x in xs %}{{ loop.index }}{{ x['k'] | upper }}{% if loop.first %}!{% endif %}{% endfor %}", xs=[{"k": "a"}, {"k": "b"}]) == "1A!2B"
     assert chat.fold_body(chat.parse('a{{ "b" ~ 1 }}{% if 1 == 2 %}no{% else %}c{% endif %}'), chat.FILTERS) == [("text", "ab1c")]
     assert chat.fold_body(chat.parse('a{{ "b" | upper }}{% if 1 == 2 %}no{% else %}c{% endif %}'), chat.FILTERS) == [("text", "aBc")]
+    whole = ('<s>{% for m in messages %}{{ loop.index }}{% if loop.first %}<S>{% endif %}{{ m.text }}{% if not loop.last %};{% endif %}{% endfor %}END')
+    assert run(whole, messages=iter([{"text": "a"}, {"text": "b"}])) == "<s>1<S>a;2bEND" and run(whole, messages=iter(())) == "<s>END"
+    assert chat.takes_a_stream(whole) and chat.takes_a_stream(chat.TEMPLATE) and chat.takes_a_stream("no turns")
+    assert not chat.takes_a_stream("{{ messages[0].text }}") and not chat.takes_a_stream("{% for x in y %}{% for m in messages %}{% endfor %}{% endfor %}")
     assert list(chat.compile_template("a{% generation %}{{ x }}{% endgeneration %}")({"x": "b"})) == [("a", False), ("b", True)]
     assert run("{{ x.__class__ }}{{ x.real }}", x=1) == ""  # lookups see keys only
     for bad in ("{% if a %}", "{% import os %}", "{{ f() }}", "{{ a | nothing }}", "{% endfor %}"):
@@ -395,3 +424,25 @@ def test_pipeline_against_plain_version(spark, tmp_path):
     assert sum(r.length for r in packed) == sum(r.doc_tokens for r in packed if r.start == 0)
     assert sum(r.start == 0 for r in packed) == len(mixed)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(packed)
+
+
+def test_a_conversation_is_rendered_as_one(spark, monkeypatch):
+    """Text before and after the turns comes once, turns are counted through chunks, and a template may look at turns twice."""
+    monkeypatch.setattr(chat, "CHUNK", 4)
+    talk = spark.createDataFrame(
+        [(c, t, "user", f"c{c}t{t}") for c in (1, 2) for t in range(5)] + [(3, 0, "user", None)], "conv_id long, turn long, role string, text string")
+
+    def rendered(template):
+        rows = sorted(chat.formatted(talk, template).collect(), key=lambda r: (r.conv_id, r.chunk))
+        return {c: [r.text for r in rows if r.conv_id == c] for c in (1, 2, 3)}
+
+    streamed = rendered("<{% for m in messages %}{{ loop.index }}{{ m.text }}{% endfor %}>")
+    assert streamed[1] == ["<1c1t0", "2c1t1", "3c1t2", "4c1t3", "5c1t4", ">"] and streamed[3] == ["<1>"]
+    twice = rendered("{{ messages[0].text }}:{% for m in messages %}{{ m.text }}{% endfor %}")
+    assert "".join(twice[2]) == "c2t0:" + "".join(f"c2t{t}" for t in range(5)) and twice[3] == [":"]
+
+
+def test_an_id_too_wide_is_an_error(spark, tmp_path):
+    import public_tokenizers
+    with pytest.raises(Exception, match="does not fit"):
+        token_files.write_token_files(documents(spark, ROWS[:1]), str(tmp_path), public_tokenizers.path("word_bpe_49k.json"), end_id=2, id_bytes=1)
