@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from eventmart.functions.documents import event_documents
-from eventmart.functions.wide_rows import encode_events, encode_marts
+from eventmart.functions.wide_rows import decode_events, encode_events, encode_marts, range_bound_of
 from eventmart.operators import lookups, publish
 from eventmart.operators.mart import account_mart
 from eventmart.operators.sums import wins_per_account
@@ -26,6 +26,7 @@ from eventmart.storage.compaction import CompactingTable
 from eventmart.storage.files import Files
 from eventmart.storage.index_sink import FolderIndex, committed, write_index
 from eventmart.storage.layouts import copy_table, write_keyed
+from eventmart.storage.presplit import key_range, read_presplit, salt_splits, write_presplit
 from eventmart.storage.salted import read_salted, write_salted
 from eventmart.storage.upsert import KeyedTable
 
@@ -63,6 +64,31 @@ def salted_table_rows(spark, sf_dir):
     return read_salted(spark, path, EVENT_WIDE_SCHEMA)
 
 
+SPLITS = salt_splits(NUM_SALTS, REGIONS)
+
+
+def _presplit(spark, sf_dir):
+    """The events as wide rows in a table split at given keys, its larger regions in several files."""
+    path = work_dir(spark, "presplit")
+    rows = encode_events(app_events(spark, sf_dir), NUM_SALTS)
+    write_presplit(rows, path, SPLITS, target_rows=max(1, rows.count() // 8))
+    return read_presplit(spark, path, EVENT_WIDE_SCHEMA)
+
+
+@query("presplit_table_rows", oracle.with_events(f"""
+    SELECT *, least({REGIONS - 1}, CAST(row_key[1:4] AS INTEGER) // ({NUM_SALTS} // {REGIONS})) AS region FROM ({EVENT_CELLS_SQL})"""))
+def presplit_table_rows(spark, sf_dir):
+    return _presplit(spark, sf_dir)
+
+
+@query("presplit_key_range", oracle.with_events(f"""SELECT * FROM app_event
+    WHERE account_id = '{ACCOUNT}' AND app_id = '{APP}' AND event_timestamp >= {START} AND event_timestamp < {END}"""))
+def presplit_key_range(spark, sf_dir):
+    """A range of keys from the folder of its region."""
+    low, high = (range_bound_of(ACCOUNT, APP, t, NUM_SALTS) for t in (START, END))
+    return decode_events(key_range(_presplit(spark, sf_dir), SPLITS, low, high))
+
+
 @query("mart_table_copy", oracle.with_marts("SELECT * FROM mart"))
 def mart_table_copy(spark, sf_dir):
     name = f"account_mart_{uuid.uuid4().hex}"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from eventmart.operators import learning, stats
+from eventmart.operators import learning, sampling, stats
 from eventmart.plans import oracle
 from eventmart.plans.batch import rounded_marts
 from eventmart.plans.registry import query
@@ -125,3 +125,16 @@ def event_tree_error(spark, sf_dir):
     + " ".join(f"WHEN '{k}' THEN {round(v * 10_000)}" for k, v in FRACTIONS.items()) + " ELSE 0 END"))
 def stratified_sample(spark, sf_dir):
     return learning.stratified_sample_by_id(app_events(spark, sf_dir), "event_type", FRACTIONS)
+
+
+SHARES = "CASE event_type " + " ".join(f"WHEN '{k}' THEN {round(v * 10_000)}" for k, v in FRACTIONS.items()) + " ELSE 0 END"
+
+
+@query("stratified_sample_exact", oracle.with_events(f"""
+    SELECT * EXCLUDE (place, wanted) FROM (
+        SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY CAST('0x' || md5(event_id)[1:15] AS BIGINT), event_id) AS place,
+               (count(*) OVER (PARTITION BY event_type) * {SHARES} + 9999) // 10000 AS wanted FROM app_event)
+    WHERE place <= wanted"""))
+def stratified_sample_exact(spark, sf_dir):
+    """As many rows of each kind as its share says, to the row."""
+    return sampling.exact_stratified_sample(app_events(spark, sf_dir), "event_type", FRACTIONS, "event_id")
