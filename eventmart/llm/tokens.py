@@ -11,16 +11,15 @@ The strings of special tokens in a text are ordinary text. A null text is an emp
 
 import os
 import re
-import sys
-import types
 from array import array
 
 LONGEST_KEPT = 64     # characters of a piece that is remembered
-MOST_KEPT = 500_000   # pieces remembered at a time; more only cost time
+MOST_KEPT = 600_000   # pieces remembered at a time; more only cost time
 # Python's white space and the separators below 0x20 are a superset of every tokenizer's white space.
 WHITE = r"\s\x1c-\x1f\x85\u180e\ufeff"
 LETTERS = r"A-Za-zÀ-ÖØ-öø-ÿ"
 MARKS = r".,;:!?#$%&*|()"
+ENDS = frozenset(MARKS)
 SPACES = re.compile(rf"(?<=[^{WHITE}])(?= [^{WHITE}])")
 INNER = re.compile(rf"(?<=[{LETTERS}])(?=[{MARKS}])|(?<=[^{WHITE}])(?=\n[^{WHITE}])|(?<=[^{WHITE}]\n)(?=[^{WHITE}])")
 SOLID = re.compile(rf"[^{WHITE}](.*[^{WHITE}])?", re.S)
@@ -31,15 +30,19 @@ BYTE_LETTERS = {b: b for b in PRINTABLE} | {b: 256 + n for n, b in enumerate(x f
 
 
 class _Known(dict):
-    """Ids by text, worked out where they are asked for first and remembered in bounds."""
+    """Ids by text, worked out where they are asked for first and remembered in bounds: what is asked for again while a
+    generation fills up moves on to the next."""
 
     def __init__(self, find):
-        self._find = find
+        self._find, self._before = find, {}
 
     def __missing__(self, text):
-        found = self._find(text)
+        found = self._before.get(text)
+        if found is None:
+            found = self._find(text)
         if len(text) <= LONGEST_KEPT:
-            if len(self) >= MOST_KEPT:
+            if len(self) >= MOST_KEPT // 2:
+                self._before = dict(self)
                 self.clear()
             self[text] = found
         return found
@@ -58,6 +61,7 @@ class Encoder:
         whole = self._tokenizer.encode
         self._lowers = whole("A").ids == whole("a").ids
         self._takes_space = whole(" a").ids != whole("a").ids
+        self._before_word = chr(BYTE_LETTERS[32]) if self._takes_space else ""
         self._pieces = _Known(self._encode)
         self._words = _Known(self._cut)
         self._spaced = _Known(self._cut_spaced)
@@ -78,11 +82,22 @@ class Encoder:
 
     def _cut_spaced(self, text):
         """Ids of the text after a space; None where white space next to the space forbids the cut."""
+        if text.isascii() and text.isalpha():
+            word = self._before_word + (text.lower() if self._lowers else text)
+            return array("I", [t.id for t in self._model.tokenize(word)]).tobytes()
+        if text[-1:] in ENDS and LETTERS_ONLY.fullmatch(text, 0, len(text) - 1) and text[0] != " ":
+            return self._spaced[text[:-1]] + self._pieces[text[-1]]
         if LETTERS_ONLY.fullmatch(text):
             return self._word(" " + text)
         return self._cut(" " + text) if SOLID.fullmatch(text) else None
 
     def ids(self, text):
+        lines = text.split("\n")
+        if len(lines) > 1 and all(map(SOLID.fullmatch, lines)):
+            return self._pieces["\n"].join(map(self._line, lines))
+        return self._line(text)
+
+    def _line(self, text):
         first, *rest = text.split(" ")
         try:
             if not rest or SOLID.fullmatch(first):
@@ -98,8 +113,11 @@ class Encoder:
 
 
 def encoder(path):
-    """The process's encoder for a vocabulary: a worker keeps what it has learnt from task to task."""
-    kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders")).__dict__
+    """The process's encoder for a vocabulary: a worker keeps what it has learnt from task to task. This module travels by
+    value and is made anew for every task, so what is kept hangs on a module that the process imports once."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
     if path not in kept:
         kept[path] = Encoder(path)
     return kept[path]
