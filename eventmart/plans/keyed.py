@@ -45,7 +45,7 @@ def event_upsert_latest(spark, sf_dir):
 
 @query("mart_upsert_latest", oracle.with_marts("SELECT * FROM mart"))
 def mart_upsert_latest(spark, sf_dir):
-    """Totals that grow from batch to batch; the first two are folded before the last arrives."""
+    """Totals that grow from batch to batch; the first two are compacted before the last arrives."""
     table = KeyedTable(spark, work_dir(spark, "mart-upsert"), MART_SCHEMA, MART_KEY, one_row_per_batch=True)
     events = app_events(spark, sf_dir)
     table.write(account_mart(events.where(F.col("payment_type") == CREDIT)), 0)

@@ -1,9 +1,8 @@
 """Keyed tables on plain files: every batch is a version, readers see the last version of a key.
 
-A batch is one run, `runs/first=N/upto=N`, N being its version (`files.version_of`): a
-replayed batch replaces its own run and nothing else, and a batch of a new owner comes after all before. Compaction folds neighbouring runs of like size into one, `runs/first=M/upto=N`. Sizes of the
-remaining runs grow geometrically: a row is rewritten a logarithmic number of times, and the large
-old run stays untouched until the newer ones weigh as much.
+A batch is one folder, `runs/version=N`, N from `files.version_of`: a replayed batch replaces its own folder and nothing
+else, and a batch of a new owner comes after all before. A compaction writes the last versions of all keys
+once, to `whole/version=N`, which stands for every batch up to N.
 """
 
 from functools import reduce
@@ -15,7 +14,6 @@ from eventmart.storage.descriptor import describe
 from eventmart.storage.files import Files, version_of
 
 FIXED_WIDTH = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType, T.BooleanType)
-FOLD_RATIO = 2
 
 
 def latest_per_key(rows, key, order, one_row_per_order=False):
@@ -43,109 +41,73 @@ class KeyedTable:
         self.one_row_per_batch = one_row_per_batch
         self._files = Files(spark, path)
 
-    def _run(self, first, upto):
-        return f"{self.path}/runs/first={first}/upto={upto}"
+    def _folder(self, kind, version):
+        return f"{self.path}/{kind}/version={version}"
 
-    def _save(self, rows, run):
-        # readers tell a finished run by its marker, so it is asked for whatever the cluster's default
+    def _finished(self, kind):
+        """Versions of the finished folders of a kind."""
+        found = [int(name.split("=")[1]) for name, _ in self._files.list(f"{self.path}/{kind}")]
+        return sorted(v for v in found if self._files.exists(f"{self._folder(kind, v)}/_SUCCESS"))
+
+    def versions(self):
+        """(version that stands for all up to it, or None; the versions after it)."""
+        whole = max(self._finished("whole"), default=None)
+        return whole, [v for v in self._finished("runs") if whole is None or v > whole]
+
+    def _save(self, rows, folder):
+        # readers tell a finished folder by its marker, so it is asked for whatever the cluster's default
         marked = rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-        marked.mode("overwrite").parquet(run)
-
-    def _numbers(self, folder):
-        return [int(name.split("=")[1]) for name, _ in self._files.list(folder)]
-
-    def _all_runs(self):
-        """(first, upto) of every finished run."""
-        root = f"{self.path}/runs"
-        found = [(a, b) for a in self._numbers(root) for b in self._numbers(f"{root}/first={a}")]
-        return [run for run in found if self._files.exists(f"{self._run(*run)}/_SUCCESS")]
-
-    def _runs(self):
-        """The runs that make up the table, oldest first: those inside no wider run."""
-        chosen, before = [], float("inf")
-        for first, upto in sorted(self._all_runs(), key=lambda run: (-run[1], run[0])):
-            if upto < before:
-                chosen.append((first, upto))
-                before = first
-        return chosen[::-1]
+        marked.mode("overwrite").parquet(folder)
 
     def write(self, rows, batch_id, owner="batch"):
         """Store a batch. The same batch of the same owner replaces what it stored. A key without a value
-        is an error, and so is a replay of a batch that has been folded.
+        is an error, and so is a replay of a batch that has been compacted.
         """
         version = version_of(self._files, self.path, owner, batch_id)
-        if any(a < b and a <= version <= b for a, b in self._runs()):
+        if version <= max(self._finished("whole"), default=-1):
             raise ValueError(f"batch {batch_id} of {owner} is already folded into {self.path}")
         describe(self._files, self.path, kind="keyed", schema=self.schema.jsonValue(), key=self.key, order=self.order,
                  one_row_per_batch=self.one_row_per_batch)
         complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key])
         no_value = F.raise_error(F.lit(f"null in key {self.key}")).cast("boolean")
         checked = rows.select(*self.schema.names).where(F.when(complete, F.lit(True)).otherwise(no_value))
-        self._save(checked.hint("rebalance"), self._run(version, version))
+        self._save(checked.hint("rebalance"), self._folder("runs", version))
 
-    def _read(self, runs):
-        schema = T.StructType([*self.schema.fields, T.StructField("upto", T.LongType())])
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/runs")
-        return reader.parquet(*[self._run(*run) for run in runs])
+    def rows(self, whole, runs):
+        """Every stored row of these versions, with its `version`."""
+        schema = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
+        parts = [("whole", [whole] if whole is not None else []), ("runs", runs)]
+        frames = [self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*[self._folder(kind, v) for v in versions])
+                  for kind, versions in parts if versions]
+        return reduce(lambda a, b: a.unionByName(b), frames) if frames else self.spark.createDataFrame([], schema)
 
-    def _newest(self, runs):
-        """The last version of every key of runs that are not folded."""
+    def _last(self, whole, runs):
         unique = self.one_row_per_batch and not self.order
-        return latest_per_key(self._read(runs), self.key, ["upto", *self.order], unique).select(*self.schema.names)
-
-    def _over(self, old, newest):
-        """A folded run with newer versions laid over it. The overtaken rows are removed by an anti join, for
-        which Spark does not shuffle the old run while the newer keys are few."""
-        old = self._read([old]).select(*self.schema.names)
-        return old.join(newest.select(*self.key), self.key, "left_anti").select(*self.schema.names).unionByName(newest)
-
-    def _fold(self, runs):
-        """The last version of every key of these runs. Only a run that is not folded is aggregated."""
-        if not runs:
-            return self.spark.createDataFrame([], self.schema)
-        if runs[0][0] == runs[0][1]:
-            return self._newest(runs)
-        return self._over(runs[0], self._newest(runs[1:])) if runs[1:] else self._read(runs).select(*self.schema.names)
+        return latest_per_key(self.rows(whole, runs), self.key, ["version", *self.order], unique).select(*self.schema.names)
 
     def latest(self):
         """The last version of every key."""
-        return self._fold(self._runs())
+        whole, runs = self.versions()
+        return self._last(whole, runs) if runs or whole is None else self.rows(whole, []).select(*self.schema.names)
 
     def compact_finished(self):
-        """`compact` without the newest run, whose batch may still be replayed; for a job beside the stream."""
-        runs = self._runs()
+        """`compact` without the newest batch, which may still be replayed; for a job beside the stream."""
+        _, runs = self.versions()
         if len(runs) > 1:
-            self.compact(runs[-2][1])
+            self.compact(runs[-2])
 
     def compact(self, upto=None):
-        """Fold the newest runs up to a version (default: all), as far back as the sizes suggest.
+        """Write the last versions of all keys up to a version (default: all) as one.
 
-        A run is taken in while it is at most FOLD_RATIO times all newer ones together. The newer runs are read
-        once. The result is range-partitioned by the key, so that a file holds a narrow range of keys and a hot
-        key prefix spreads over files. Runs replaced by the compaction before are removed now, so readers that
-        started earlier keep their files.
+        The result is range-partitioned by the key, so that a file holds a narrow range of keys and a hot key prefix
+        spreads over files. What the compaction before replaced is removed now, so readers that started earlier keep
+        their files.
         """
-        runs = self._runs()
-        for replaced in set(self._all_runs()) - set(runs):
-            self._files.delete(self._run(*replaced))
-            parent = f"{self.path}/runs/first={replaced[0]}"
-            if not self._numbers(parent):
-                self._files.delete(parent)
-        candidates = [run for run in runs if upto is None or run[1] <= upto][::-1]
-        taken, total = [], 0
-        for run in candidates:
-            size = self._files.size(self._run(*run))
-            if taken and size > FOLD_RATIO * total:
-                break
-            taken.append(run)
-            total += size
-        if len(taken) > 1:
-            taken, scratch = taken[::-1], f"{self.path}/scratch/{taken[0][1]}"
-            folded = taken[0][0] < taken[0][1]
-            # keys and rows of the newer runs are both taken from here
-            self._newest(taken[1:] if folded else taken).write.mode("overwrite").parquet(scratch)
-            rows = self.spark.read.schema(self.schema).parquet(scratch)
-            if folded:
-                rows = self._over(taken[0], rows)
-            self._save(rows.repartitionByRange(*self.key).sortWithinPartitions(*self.key), self._run(taken[0][0], taken[-1][1]))
-            self._files.delete(scratch)
+        whole, runs = self.versions()
+        for kind, version in [*(("whole", v) for v in self._finished("whole")), *(("runs", v) for v in self._finished("runs"))]:
+            if whole is not None and (version < whole or kind == "runs" and version == whole):
+                self._files.delete(self._folder(kind, version))
+        taken = [v for v in runs if upto is None or v <= upto]
+        if taken:
+            last = self._last(whole, taken).repartitionByRange(*self.key).sortWithinPartitions(*self.key)
+            self._save(last, self._folder("whole", taken[-1]))

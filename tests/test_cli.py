@@ -104,7 +104,7 @@ def test_jobs_over_streamed_tables(spark, tmp_path, capsys):
 
 def test_versions_are_never_read_raw(spark, tmp_path):
     from eventmart.sources.open import open_table
-    spark.range(1).write.parquet(f"{tmp_path}/x/runs/first=0/upto=0")
+    spark.range(1).write.parquet(f"{tmp_path}/x/runs/version=0")
     with pytest.raises(ValueError, match="versions"):
         open_table(spark, f"{tmp_path}/x")
 

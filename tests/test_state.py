@@ -31,7 +31,7 @@ def full_topic(topic):
 def versions(spark, path):
     """The rows that each batch stored."""
     table = jobs.mart_table(spark, path)
-    return [rows_of(table._read([run]).select(*MART_COLUMNS)) for run in table._runs()]
+    return [rows_of(table.rows(None, [run]).select(*MART_COLUMNS)) for run in table.versions()[1]]
 
 
 def test_every_key_comes_with_every_batch(spark, folder, full_topic, make_events):

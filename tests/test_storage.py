@@ -57,31 +57,28 @@ def test_compaction_changes_no_row(spark, folder, make_marts, one_row_per_batch)
     table.write(make_marts(*[mart_row(k, 6) for k in keys]), 6)  # replay of the last batch
     table.compact()
     assert {r.account_id: r.win_count for r in table.latest().collect()} == expected
-    assert table._runs()[-1][1] == 6 and len(table._runs()) < 4
-    table.compact()
+    assert table.versions() == (6, [])
+    table.compact()  # nothing new: what was replaced goes
     assert {r.account_id: r.win_count for r in table.latest().collect()} == expected
-    assert set(table._all_runs()) == set(table._runs())
+    assert table._finished("whole") == [6] and table._finished("runs") == []
 
 
-def test_compaction_leaves_a_large_old_run_alone(spark, folder, make_marts):
+def test_readers_keep_their_files_until_the_next_compaction(spark, folder, make_marts):
     table = KeyedTable(spark, f"{folder}/m", MART_SCHEMA, MART_KEY, one_row_per_batch=True)
-    table.write(make_marts(*[mart_row(f"k{i}", i) for i in range(5000)]), 0)
-    table.write(make_marts(*[mart_row(f"k{i}", i) for i in range(5000, 10000)]), 1)
-    table.compact()
-    assert table._runs() == [(0, 1)]
-    for batch in range(2, 6):
-        table.write(make_marts(mart_row("k1", 100 + batch)), batch)
+    for batch in range(2):
+        table.write(make_marts(mart_row("a", batch), mart_row(f"k{batch}", batch)), batch)
+    before = table.latest()
     table.compact()
-    assert table._runs() == [(0, 1), (2, 5)]
-    latest = table.latest()
-    assert latest.count() == 10000 and latest.where("account_id = 'k1'").first().win_count == 105
+    table.write(make_marts(mart_row("a", 2)), 2)
+    assert sorted(r.win_count for r in before.collect()) == [0, 1, 1]
+    assert table.versions() == (1, [2]) and sorted(r.win_count for r in table.latest().collect()) == [0, 1, 2]
 
 
 def test_unfinished_run_is_not_read(spark, folder, make_marts):
     table = KeyedTable(spark, f"{folder}/m", MART_SCHEMA, MART_KEY)
     table.write(make_marts(mart_row("a", 1)), 0)
     table.write(make_marts(mart_row("a", 2)), 1)
-    os.remove(f"{folder}/m/runs/first=1/upto=1/_SUCCESS")
+    os.remove(f"{folder}/m/runs/version=1/_SUCCESS")
     assert [r.win_count for r in table.latest().collect()] == [1]
 
 
@@ -111,16 +108,15 @@ def test_a_new_owner_counts_from_zero_and_touches_nothing(spark, folder, make_ma
     assert found == {"a": 11, "old0": 1, "old1": 1, "old2": 1, "new": 1}
 
 
-def test_compacted_files_hold_ranges_of_keys_and_newer_runs_are_read_once(spark, folder, make_marts):
+def test_compacted_files_hold_ranges_of_keys(spark, folder, make_marts):
     table = KeyedTable(spark, f"{folder}/m", MART_SCHEMA, MART_KEY, one_row_per_batch=True)
     for batch in range(3):
         table.write(make_marts(*[mart_row(f"k{i:04}", batch) for i in range(0, 4000, 2)]), batch)
     with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         table.compact()
-    files = spark.read.parquet(table._run(0, 2)).groupBy(F.input_file_name()).agg(F.min("account_id").alias("a"), F.max("account_id").alias("b")).collect()
+    files = spark.read.parquet(table._folder("whole", 2)).groupBy(F.input_file_name()).agg(F.min("account_id").alias("a"), F.max("account_id").alias("b")).collect()
     ranges = sorted((r.a, r.b) for r in files)
     assert len(ranges) > 1 and all(x[1] < y[0] for x, y in zip(ranges, ranges[1:]))
-    assert not os.path.exists(f"{folder}/m/scratch/2")
 
 
 def test_null_key_is_an_error(spark, folder, make_marts):
@@ -147,17 +143,6 @@ def test_copies_of_a_hot_key_shrink_before_the_shuffle(spark, make_events):
     assert "partial_max_by" in plan and "SortAggregate" not in plan
 
 
-def test_small_log_leaves_the_base_unshuffled(spark, folder, make_events):
-    table = event_table(spark, folder)
-    table.write(make_events(*[{"event_id": str(i)} for i in range(25)]), 0)
-    table.write(make_events(*[{"event_id": str(i)} for i in range(25, 50)]), 1)
-    table.compact()
-    table.write(make_events({"purchase": 2.0}), 2)
-    latest = table.latest()
-    latest.collect()
-    assert "BroadcastHashJoin" in plan_of(latest) and latest.count() == 50
-
-
 def test_lookup_filter_reaches_the_files(spark, folder, make_events):
     table = event_table(spark, folder)
     table.write(make_events({}, {"account": "b"}), 0)
@@ -166,8 +151,8 @@ def test_lookup_filter_reaches_the_files(spark, folder, make_events):
     table.write(make_events({"account": "b"}), 2)
     found = lookups.events_of_account(table.latest(), "b")
     assert found.count() == 1
-    plan = plan_of(found)  # both runs are pruned, for the anti join as well
-    assert plan.count("EqualTo(account_id,b)") >= 3 and plan.count("FileScan") == plan.count("EqualTo(account_id,b)")
+    plan = plan_of(found)  # the compacted rows and the later batch are both pruned
+    assert plan.count("EqualTo(account_id,b)") >= 2 and plan.count("FileScan") == plan.count("EqualTo(account_id,b)")
 
 
 # --- salted tables ---------------------------------------------------------------------------------
