@@ -18,7 +18,7 @@ def stored_table(spark, path):
     files = Files(spark, path)
     about = described(files, path)
     if about is None:
-        if files.exists(f"{path}/runs") or files.exists(f"{path}/manifest"):
+        if files.exists(f"{path}/runs") or files.exists(f"{path}/done"):
             raise ValueError(f"{path} holds versions of rows but does not say how they are keyed")
         return None
     schema = T.StructType.fromJson(about["schema"])

@@ -1,64 +1,43 @@
 """Parquet sink for micro-batches that publishes only files of a minimum size."""
 
-from concurrent.futures import ThreadPoolExecutor
-
 from eventmart.storage.descriptor import describe
 from eventmart.storage.files import Files, version_of
 
 
 class CompactingTable:
-    """`table/` holds published files, `pending/` those that are still too small.
-
-    Each batch is written once, in parallel; its large files are published as they are. Small files
-    wait until together they make up a publishable file, until there are more than `max_pending_files` of them,
-    or until `flush`, and are then joined by one job. So a row is written twice at most, plus the remainders.
-
-    Batches have versions from their owner and number (`files.version_of`), and files the version in their
-    names. The manifest of a version names the files pending after it and makes it count: readers here take
-    the published files up to the last manifest's version and the files it names, so they see
-    every row once while a batch is under way. A reader of `table/` itself may meet a part of the batch under way.
+    """`table/` holds published files, `pending/v=N` the rows that still wait after batch N, `done/v=N` says that N counts.
+
+    A batch is written once, in parallel, and its files of the minimum size are published as they are. The others are
+    joined with what was pending, which is less than a file for each of a batch's tasks, and what then is large enough
+    is published too; `flush` publishes the rest. Readers here take published files up to the last batch that is
+    done, and its pending rows, so they see every row once while a batch is under way. A reader of `table/` itself may
+    meet a part of the batch under way. Batches are numbered by owner and number (`files.version_of`), and their files carry
+    the number, so a batch that runs again first takes back what it left.
     """
 
-    def __init__(self, spark, path, schema, min_size, target_size=None, max_pending_files=200):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.min_size, self.max_pending_files = min_size, max_pending_files
+    def __init__(self, spark, path, schema, min_size, target_size=None):
+        self.spark, self.path, self.schema, self.min_size = spark, path.rstrip("/"), schema, min_size
         self.target_size = max(target_size or 0, min_size * 3 // 2, 1)
-        self.table, self._pending = f"{self.path}/table", f"{self.path}/pending"
+        self.table = f"{self.path}/table"
         self._files = Files(spark, path)
 
-    def _manifest(self, version):
-        return f"{self.path}/manifest/v={version}"
-
-    def _names(self, version):
-        return [] if version is None else self._files.read_text(self._manifest(version)).split()
-
     def _versions(self):
-        return sorted(int(name.split("=")[1]) for name, _ in self._files.list(f"{self.path}/manifest"))
+        return sorted(int(name.split("=")[1]) for name, _ in self._files.list(f"{self.path}/done"))
 
-    def _read(self, *paths):
-        return self.spark.read.schema(self.schema).parquet(*paths)
+    def last_version(self):
+        return max(self._versions(), default=None)
 
     def _sized(self, folder):
         return [(f"{folder}/{name}", size) for name, size in self._files.list(folder)]
 
-    def _move(self, paths, folder, version, stage):
-        """Move files into a folder under names that only this version uses; returns the names."""
-        names = [f"part-{version}-{stage}{i}.parquet" for i in range(len(paths))]
-        with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda p, n: self._files.rename(p, f"{folder}/{n}"), paths, names))
-        return names
-
-    def _begin(self, version):
-        """Note the start of a batch; where it was started before, undo what it left."""
-        started = f"{self.path}/started/v={version}"
-        if self._files.exists(started):
-            for folder in (self.table, self._pending):
-                for name, _ in self._files.list(folder):
-                    if name.startswith(f"part-{version}-"):
-                        self._files.delete(f"{folder}/{name}")
-            self._files.delete(self._manifest(version))
-        for folder in (self.table, self._pending, started):
-            self._files.mkdirs(folder)
+    def _published(self, version):
+        return [f"{self.table}/{n}" for n, _ in self._files.list(self.table) if int(n.split("-")[1]) == version]
+
+    def _pending(self, version):
+        return f"{self.path}/pending/v={version}"
+
+    def _read(self, paths):
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
     def add(self, rows, batch_id, owner="batch"):
         """Take in a batch. Running a batch of an owner again gives the same rows."""
@@ -66,62 +45,44 @@ class CompactingTable:
 
     def flush(self):
         """Publish all that is pending, whatever its size: for the end of a run, or a reader that waits."""
-        if any(self._names(v) for v in self._versions()[-1:]):
-            self._take(None, version_of(self._files, self.path, "flush", self._versions()[-1]), everything=True)
+        last = self.last_version()
+        if last is not None and self._sized(self._pending(last)):
+            self._take(None, version_of(self._files, self.path, "flush", last), everything=True)
 
     def _take(self, rows, version, everything=False):
-        self._begin(version)
+        for path in (f"{self.path}/done/v={version}", self._pending(version), *self._published(version)):
+            self._files.delete(path)
+        self._files.mkdirs(self.table)
         describe(self._files, self.path, kind="files", schema=self.schema.jsonValue(), min_size=self.min_size)
-        scratch = f"{self.path}/scratch/v={version}"
-        arrived = []
-        if rows is not None:
-            rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{scratch}/arrived")
-            arrived = self._sized(f"{scratch}/arrived")
-        large = [p for p, size in arrived if size >= self.min_size]
-        small = [p for p, size in arrived if size < self.min_size]
         before = [v for v in self._versions() if v < version]
-        kept = self._names(before[-1] if before else None)
-
-        sizes = dict(arrived + self._sized(self._pending))
-        candidates = small + [f"{self._pending}/{name}" for name in kept]
-        total = sum(sizes[p] for p in candidates)
-        if candidates and (everything or total >= self.min_size or len(candidates) > self.max_pending_files):
-            parts = max(1, total // self.target_size)
-            self._read(*candidates).coalesce(parts).write.mode("overwrite").parquet(f"{scratch}/joined")
-            joined = self._sized(f"{scratch}/joined")
-            done = [p for p, size in joined if everything or size >= self.min_size]
-            self._move(done, self.table, version, "j")
-            small, kept = [p for p, _ in joined if p not in set(done)], []
-
-        self._move(large, self.table, version, "a")
-        kept = kept + self._move(small, self._pending, version, "p")
-        self._files.write_text(self._manifest(version), "\n".join(kept))
-        self._forget(before, scratch)
-
-    def _forget(self, before, scratch):
-        """Remove what no replay can need: all manifests but the last before, and the files that it let go."""
-        for old in before[:-1]:
-            for name in set(self._names(old)) - set(self._names(before[-1])):
-                self._files.delete(f"{self._pending}/{name}")
-            for path in (self._manifest(old), f"{self.path}/started/v={old}"):
-                self._files.delete(path)
-        self._files.delete(scratch)
-
-    def _rows(self, paths):
-        return self._read(*paths) if paths else self.spark.createDataFrame([], self.schema)
-
-    def last_version(self):
-        return max(self._versions(), default=None)
+        arrived = f"{self.path}/scratch/v={version}"
+        if rows is not None:
+            rows.select(*self.schema.names).write.mode("overwrite").parquet(arrived)
+        found = self._sized(arrived)
+        small = [f for f in found if f[1] < self.min_size] + (self._sized(self._pending(before[-1])) if before else [])
+        if small:
+            parts = max(1, sum(size for _, size in small) // self.target_size)
+            self._read([p for p, _ in small]).coalesce(parts).write.mode("overwrite").parquet(self._pending(version))
+        ready = [p for p, size in found if size >= self.min_size]
+        ready += [p for p, size in self._sized(self._pending(version)) if everything or size >= self.min_size]
+        for i, path in enumerate(ready):
+            self._files.rename(path, f"{self.table}/part-{version}-{i}.parquet")
+        self._files.mkdirs(f"{self.path}/done/v={version}")
+        self._files.delete(arrived)
+        for old in before[:-1]:  # the batch before is kept, from which this one could run again
+            self._files.delete(self._pending(old))
+            self._files.delete(f"{self.path}/done/v={old}")
 
     def published(self):
         """Rows of the published files."""
         last = self.last_version()
         names = [] if last is None else [n for n, _ in self._files.list(self.table) if int(n.split("-")[1]) <= last]
-        return self._rows([f"{self.table}/{name}" for name in names])
+        return self._read([f"{self.table}/{name}" for name in names])
 
     def pending(self):
         """Rows still waiting after the last batch."""
-        return self._rows([f"{self._pending}/{name}" for name in self._names(self.last_version())])
+        last = self.last_version()
+        return self._read([] if last is None else [p for p, _ in self._sized(self._pending(last))])
 
     def rows(self):
         """Everything taken in so far: published and pending."""
