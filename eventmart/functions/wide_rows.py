@@ -71,17 +71,17 @@ def encode_marts(marts, num_salts, carry=()):
     return _encode(marts, mart_row_key(num_salts), MART_CELLS, list(carry))
 
 
-def _decode(df, schema, columns, key_parts, cells):
+def _decode(df, schema, columns, key_parts, cells, carry=()):
     parts = F.split("row_key", ":")
     source = {name: parts[position] for name, position in key_parts.items()}
     source.update({column: F.col(cell) for cell, column in cells.items()})
-    return df.select(*[source[c].cast(schema[c].dataType).alias(c) for c in columns])
+    return df.select(*carry, *[source[c].cast(schema[c].dataType).alias(c) for c in columns])
 
 
-def decode_events(rows):
+def decode_events(rows, carry=()):
     """Row key and cells back to events, whatever their type."""
     key_parts = {"account_id": 1, "app_id": 2, "event_timestamp": 3, "event_type": 4, "event_id": 5}
-    return _decode(rows, EVENT_SCHEMA, EVENT_COLUMNS, key_parts, EVENT_CELLS)
+    return _decode(rows, EVENT_SCHEMA, EVENT_COLUMNS, key_parts, EVENT_CELLS, list(carry))
 
 
 def decode_marts(rows):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from eventmart.functions.wide_rows import (
-    SALT_WIDTH, decode_events, decode_marts, mart_key_of, range_bound_of, salt_of,
+    SALT_WIDTH, decode_events, decode_marts, mart_key_of, range_bound_of, salt, salt_of,
 )
 
 
@@ -62,3 +62,19 @@ def region_of(row_key, num_salts, regions):
     salt_number = F.substring(row_key, 1, SALT_WIDTH).cast("int")
     per_region = num_salts // regions
     return F.least(F.lit(regions - 1), F.floor(salt_number / per_region).cast("int"))
+
+
+def events_for_requests(rows, requests, num_salts):
+    """Events of many requests at once, decoded, each with its `request_id`: [start, end) of one account and app per request.
+
+    `rows` is a table of wide event rows with a folder per salt, `requests` has request_id, account_id, app_id, start and
+    end, where a null bound leaves that side open. Both meet on salt, account and app, so the salts that no request has are not
+    opened (pruning by the requests' own salts at run time) and a row meets the requests of its own key only.
+    """
+    wanted = requests.select(
+        "request_id", F.col("account_id").alias("of_account"), F.col("app_id").alias("of_app"), "start", "end", salt("account_id", num_salts).alias("salt"))
+    cells = F.split("row_key", ":")
+    keyed = rows.withColumns({"of_account": cells[1], "of_app": cells[2], "at": cells[3].cast("long")})
+    met = keyed.join(wanted, ["salt", "of_account", "of_app"])
+    met = met.where((F.col("start").isNull() | (F.col("at") >= F.col("start"))) & (F.col("end").isNull() | (F.col("at") < F.col("end"))))
+    return decode_events(met, ["request_id"])

@@ -5,15 +5,15 @@ from pyspark.sql import functions as F
 from eventmart.functions.csv_text import (
     event_line, mart_line, parse_events, parse_events_outcomes, parse_marts,
 )
-from eventmart.functions.documents import as_json, dynamic_fields, event_documents
+from eventmart.functions.documents import as_json, as_xml, dynamic_fields, event_documents, field_names, from_xml, variant_documents
 from eventmart.functions.hashing import java_string_hash_text
 from eventmart.functions.wide_rows import (
     decode_events, decode_marts, encode_events, encode_marts, event_row_key, mart_row_key, salt,
 )
-from eventmart.operators import mart, publish, stats, sums
+from eventmart.operators import mart, moments, publish, stats, sums
 from eventmart.plans import oracle
 from eventmart.plans.registry import query
-from eventmart.schemas import BUY, CREDIT, DEBIT, EVENT_COLUMNS, MART_CELLS, MART_KEY, MART_TOTALS, PAYPAL
+from eventmart.schemas import BUY, CREDIT, DEBIT, EVENT_COLUMNS, EVENT_SCHEMA, MART_CELLS, MART_KEY, MART_TOTALS, PAYPAL
 from eventmart.session import work_dir
 from eventmart.sources.adapter import app_events, document_lines
 from eventmart.sources.tables import events_by_name, marts_by_name, scan_table
@@ -269,6 +269,57 @@ def mart_json(spark, sf_dir):
     return as_json(marts).select(F.from_json("json", marts.schema).alias("mart")).select("mart.*")
 
 
+@query("event_xml_roundtrip", oracle.with_events("SELECT * FROM app_event"))
+def event_xml_roundtrip(spark, sf_dir):
+    """Events as XML elements, parsed again."""
+    return from_xml(as_xml(app_events(spark, sf_dir), "appEvent"), EVENT_SCHEMA, "appEvent")
+
+
+@query("mart_xml_roundtrip", oracle.with_marts("SELECT * FROM mart"))
+def mart_xml_roundtrip(spark, sf_dir):
+    marts = rounded_marts(spark, sf_dir)
+    return from_xml(as_xml(marts, "accountMart"), marts.schema, "accountMart")
+
+
+def _variant_fields(documents, **fields):
+    """The names of each document's fields and the values of some."""
+    values = [F.variant_get("document", f"$.{name}", kind).alias(name) for name, kind in fields.items()]
+    return documents.select("id", F.array_join(field_names(), ",").alias("fields"), *values)
+
+
+def _present_sql(*cases):
+    return f"array_to_string(list_sort(list_filter([{', '.join(cases)}], lambda f: f IS NOT NULL)), ',') AS fields"
+
+
+def _string_name_sql(c):
+    return f"CASE WHEN instr({c}, ' ') > 0 THEN '{c}_t' WHEN {c} IS NOT NULL THEN '{c}_s' END"
+
+
+def _name_sql(c, suffix):
+    return f"CASE WHEN {c} IS NOT NULL THEN '{c}{suffix}' END"
+
+
+@query("variant_field_docs", f"""
+    SELECT CAST(doc_id AS VARCHAR) AS id,
+      {_present_sql(_name_sql('doc_id', '_l'), _string_name_sql('text'), _string_name_sql('source'), _name_sql('lang', '_s'), _name_sql('n_chars', '_l'))},
+      doc_id AS doc_id_l, {_string_fields_sql('text', 'source')}, lang AS lang_s, n_chars AS n_chars_l FROM documents""")
+def variant_field_docs(spark, sf_dir):
+    documents = variant_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", {"lang": "_s"})
+    return _variant_fields(documents, doc_id_l="long", text_s="string", text_t="string", source_s="string", source_t="string", lang_s="string", n_chars_l="long")
+
+
+@query("variant_field_orders", f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS id,
+      {_present_sql(_name_sql('o_orderkey', '_l'), _name_sql('o_custkey', '_l'), _string_name_sql('o_orderstatus'), _string_name_sql('o_orderpriority'),
+                    _name_sql('o_totalprice', '_d'), _name_sql('o_orderdate', '_tdt'))},
+      o_orderkey AS o_orderkey_l, o_custkey AS o_custkey_l, {_string_fields_sql('o_orderstatus', 'o_orderpriority')}, o_totalprice AS o_totalprice_d
+    FROM orders""")
+def variant_field_orders(spark, sf_dir):
+    documents = variant_documents(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey")
+    return _variant_fields(documents, o_orderkey_l="long", o_custkey_l="long", o_orderstatus_s="string", o_orderstatus_t="string",
+                           o_orderpriority_s="string", o_orderpriority_t="string", o_totalprice_d="double")
+
+
 # --- statistics ------------------------------------------------------------------------------------
 
 @query("mart_features", oracle.with_marts(
@@ -301,3 +352,25 @@ def _correlation_sql(a, b):
 def mart_correlation(spark, sf_dir):
     table = stats.correlation(stats.features(rounded_marts(spark, sf_dir)))
     return table.withColumn("corr", F.round("corr", 6))
+
+
+def _merged_moments(spark, sf_dir):
+    """The marts' moments, left behind by three parts of them and merged."""
+    table = moments.moment_table(spark, work_dir(spark, "moments"))
+    rows = stats.features(rounded_marts(spark, sf_dir))
+    for part in range(3):
+        here = rows.where(F.pmod(F.xxhash64("account_id", "app_id"), F.lit(3)) == part)
+        table.write(moments.moments(here, f"part{part}"), part)
+    return moments.merged(table.latest())
+
+
+@query("mart_merged_stats", oracle.with_marts(" UNION ALL ".join(map(_column_stats_sql, stats.FEATURES))))
+def mart_merged_stats(spark, sf_dir):
+    table = moments.stats_of(_merged_moments(spark, sf_dir))
+    return table.withColumns({c: F.round(c, 6) for c in ["mean", "variance", "norm_l1", "norm_l2"]})
+
+
+@query("mart_merged_correlation", oracle.with_marts(
+    " UNION ALL ".join(_correlation_sql(a, b) for a in stats.FEATURES for b in stats.FEATURES)))
+def mart_merged_correlation(spark, sf_dir):
+    return moments.correlation_of(_merged_moments(spark, sf_dir)).withColumn("corr", F.round("corr", 6))

@@ -204,6 +204,26 @@ def events_key_range(spark, sf_dir):
     return lookups.events_in_range(rows, ACCOUNT, APP, NUM_SALTS, START, END)
 
 
+# Each account's first event and the day after it, for a hundred accounts.
+REQUESTS_SQL = """requests AS (
+    SELECT CAST(account_id AS BIGINT) AS request_id, account_id, min_by(app_id, CAST(event_id AS BIGINT)) AS app_id, min(event_timestamp) AS start,
+           min(event_timestamp) + 86400000 AS "end" FROM app_event WHERE CAST(account_id AS BIGINT) < 100 GROUP BY account_id)"""
+
+
+@query("events_for_requests", oracle.with_events("""
+    SELECT r.request_id, e.* FROM app_event e JOIN requests r ON e.account_id = r.account_id AND e.app_id = r.app_id
+    WHERE e.event_timestamp >= r.start AND e.event_timestamp < r."end\"""", REQUESTS_SQL))
+def events_for_requests(spark, sf_dir):
+    """A hundred key ranges at once, from a salted table."""
+    events = app_events(spark, sf_dir)
+    rows = _stored_wide(spark, encode_events(events, NUM_SALTS), EVENT_WIDE_SCHEMA)
+    requests = events.where(F.col("account_id").cast("long") < 100).groupBy("account_id").agg(
+        F.min_by("app_id", F.col("event_id").cast("long")).alias("app_id"), F.min("event_timestamp").alias("start"))
+    path = work_dir(spark, "requests")
+    requests.select(F.col("account_id").cast("long").alias("request_id"), "*", (F.col("start") + 86400000).alias("end")).write.parquet(path)
+    return lookups.events_for_requests(rows, spark.read.parquet(path).where("request_id < 100"), NUM_SALTS)
+
+
 @query("lookup_mart_by_row_key", oracle.with_marts(f"SELECT * FROM mart WHERE account_id = '{ACCOUNT}' AND app_id = '{APP}'"))
 def lookup_mart_by_row_key(spark, sf_dir):
     rows = _stored_wide(spark, encode_marts(rounded_marts(spark, sf_dir), NUM_SALTS), MART_WIDE_SCHEMA)
