@@ -5,9 +5,13 @@ parts in unary: bit (upper part + index) is set. A number's group by upper part
 bit string, found through counts per word, and then searched by lower bits. All operations take arrays.
 """
 
-import tempfile
+import os
+import uuid
 
 import numpy as np
+from pyarrow import fs as pafs
+
+from eventmart.llm.token_files import file_system
 
 U = np.uint64
 ONE = U(1)
@@ -98,20 +102,28 @@ class Sequence:
 
 
 class Mapped:
-    """Arrays in one temporary file that has no name any more, as read-only memory maps."""
+    """Arrays in one file of a shared folder, as read-only memory maps. The file loses its name once it is mapped, so a task
+    that fails or runs again leaves nothing and meets nothing. In a store that is no mounted file system arrays stay in memory.
+    """
 
-    def __init__(self, arrays):
-        with tempfile.TemporaryFile() as file:
-            places = []
-            for a in arrays:
-                a = np.ascontiguousarray(a)
-                file.write(b"\0" * (-file.tell() % 8))
-                places.append((file.tell(), a.dtype, a.shape))
-                file.write(a.tobytes())
-            file.write(b"\0" * 8)
-            file.flush()
-            self.arrays = [
-                np.memmap(file, d, "r", at, shape) if np.prod(shape) else np.zeros(shape, d) for at, d, shape in places]
+    def __init__(self, arrays, folder):
+        arrays = [np.ascontiguousarray(a) for a in arrays]
+        system, root = file_system(folder)
+        if not isinstance(system, pafs.LocalFileSystem):
+            self.arrays = arrays
+            return
+        os.makedirs(root, exist_ok=True)
+        path, places = f"{root}/{uuid.uuid4().hex}.levels", []
+        try:
+            with open(path, "wb") as file:
+                for a in arrays:
+                    file.write(b"\0" * (-file.tell() % 8))
+                    places.append((file.tell(), a.dtype, a.shape))
+                    file.write(a.tobytes())
+                file.write(b"\0" * 8)
+            self.arrays = [np.memmap(path, d, "r", at, shape) if np.prod(shape) else np.zeros(shape, d) for at, d, shape in places]
+        finally:
+            os.unlink(path)
 
 
 class Trie:
@@ -123,7 +135,7 @@ class Trie:
     relative to the context.
     """
 
-    def __init__(self, contexts, first, successors, values, backoffs, context_bits=64, successor_bits=40):
+    def __init__(self, contexts, first, successors, values, backoffs, folder, context_bits=64, successor_bits=40):
         vocabulary = np.unique(successors)
         number = np.searchsorted(vocabulary, successors)
         owner = np.repeat(np.arange(len(contexts)), np.diff(first))
@@ -131,7 +143,7 @@ class Trie:
         levels = [
             Sequence.encode(contexts, 1 << context_bits), Sequence.encode(vocabulary, 1 << successor_bits),
             Sequence.encode(first, len(successors) + 1), Sequence.encode(owner * self._size + number, max(1, len(contexts)) * self._size)]
-        mapped = Mapped([a for level in levels for a in level] + [values, backoffs]).arrays
+        mapped = Mapped([a for level in levels for a in level] + [values, backoffs], folder).arrays
         self._contexts, self._vocabulary, self._first, self._successors = (Sequence(mapped[5 * i:5 * i + 5]) for i in range(4))
         self._values, self._backoffs = mapped[20:]
 

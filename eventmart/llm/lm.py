@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from eventmart.llm.blobs import bucket_count, bucketed, by_part, narrow, pack, part_of, unpack
 from eventmart.llm.elias_fano import Sequence, Mapped, Trie
 from eventmart.llm.words import U, Hasher, mixed, slices
+from eventmart.session import work_dir
 
 BUCKET_BYTES = 12 << 20
 PRIOR = 60.0
@@ -86,7 +87,7 @@ def _word_messages(number, bucket, parts):
         yield p, pack(np.array([number, trained if p == 0 else 0]), bucket.words[s], narrow(bucket.train_counts[s]))
 
 
-def _count_words(table):
+def _count_words(table, folder):
     """One part of the words: their training counts, back to the buckets in the order of their questions."""
     part = table.column("part")[0].as_py()
     blobs = [unpack(b) for b in table.column("blob").to_pylist()]
@@ -94,7 +95,7 @@ def _count_words(table):
     counts = np.zeros(len(known), np.int64)
     np.add.at(counts, place, np.concatenate([b[2] for b in blobs]).astype(np.int64))
     # the root level of the model: word keys and their counts
-    *root, counts = Mapped([*Sequence.encode(known, 1 << 64), counts]).arrays
+    *root, counts = Mapped([*Sequence.encode(known, 1 << 64), counts], folder).arrays
     root = Sequence(root)
     totals = np.array([part, counts.sum(), np.count_nonzero(counts), sum(int(b[0][1]) for b in blobs)])
     for b in blobs:
@@ -145,7 +146,7 @@ def _bigram_messages(number, bucket, unigrams, parts):
             (key & U(0xFFFFFFFF)).astype(np.uint32), (key >> U(32)).astype(np.uint8), narrow(trained), low.astype(np.uint8))
 
 
-def _trie_of(h, total, key, trained, low):
+def _trie_of(h, total, key, trained, low, folder):
     """The trie of all bigrams with training counts, and the number of their kinds."""
     order = np.lexsort((key, h))
     h, total, key, trained, low = (x[order] for x in (h, total, key, trained, low))
@@ -159,10 +160,10 @@ def _trie_of(h, total, key, trained, low):
     smoothed = (trained + PRIOR * 10.0 ** (-UNIGRAM_STEP * low)) / (total + PRIOR)
     weight = PRIOR / (total[start] + PRIOR)
     return Trie(h[start], np.append(start, len(h)), key, _codes(np.log10(smoothed), STEP, UNSEEN - 1).astype(np.uint16),
-                _codes(np.log10(weight), STEP, UNSEEN - 1).astype(np.uint16))
+                _codes(np.log10(weight), STEP, UNSEEN - 1).astype(np.uint16), folder)
 
 
-def _answer_bigrams(table, parts):
+def _answer_bigrams(table, parts, folder):
     """One part of the contexts: (bucket, kind, blob) with a code per bigram of each bucket's question."""
     part = table.column("part")[0].as_py()
     if part >= parts:
@@ -173,7 +174,7 @@ def _answer_bigrams(table, parts):
         (number,), h, total, runs, low_key, high_key, trained, low = unpack(blob)
         key = low_key.astype(U) | (high_key.astype(U) << U(32))
         asked.append((int(number), np.repeat(h, runs), np.repeat(total.astype(np.int64), runs), key, trained.astype(np.int64), low.astype(np.float64)))
-    trie = _trie_of(*(np.concatenate([a[i] for a in asked]) for i in range(1, 6)))
+    trie = _trie_of(*(np.concatenate([a[i] for a in asked]) for i in range(1, 6)), folder)
     for number, h, total, key, *_ in asked:
         value, found = trie.look_up(h, key)
         # a context without a successor in this part still has its own weight
@@ -206,10 +207,11 @@ RESULT = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int6
           ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
 
 
-def language_scores(docs, id_col="doc_id", text_col="text", folds=5, held_out_fold=1):
+def language_scores(docs, id_col="doc_id", text_col="text", folds=5, held_out_fold=1, bucket_bytes=BUCKET_BYTES):
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    buckets = bucket_count(docs, text_col, BUCKET_BYTES)
+    buckets = bucket_count(docs, text_col, bucket_bytes)
     parts = buckets
+    levels = work_dir(docs.sparkSession, "levels")
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
     texts = bucketed(docs, buckets, id_col, text_col, (fold == held_out_fold).alias("held_out"))
 
@@ -220,7 +222,7 @@ def language_scores(docs, id_col="doc_id", text_col="text", folds=5, held_out_fo
         return _rows(_word_messages(number(table), _Bucket(table), parts), "part", "blob")
 
     def count_words(table):
-        return _rows(_count_words(table), "bucket", "blob")
+        return _rows(_count_words(table, levels), "bucket", "blob")
 
     def ask_bigrams(table, mail):
         if not table.num_rows:
@@ -229,7 +231,7 @@ def language_scores(docs, id_col="doc_id", text_col="text", folds=5, held_out_fo
         return _rows(_bigram_messages(number(table), _Bucket(table), unigrams, parts), "part", "blob")
 
     def answer_bigrams(table):
-        return _rows(_answer_bigrams(table, parts), "bucket", "blob", "kind")
+        return _rows(_answer_bigrams(table, parts, levels), "bucket", "blob", "kind")
 
     def finish(table, mail):
         if not table.num_rows:

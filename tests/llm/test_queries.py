@@ -115,13 +115,3 @@ def test_neighbours(results):
         assert (mine.score.diff().dropna() <= 0).all()
         found, total = found + len(set(ids[best]) & set(mine.vec_id)), total + 20
     assert found >= 0.9 * total
-
-
-def test_quality(results):
-    got = results("op8_quality")
-    label = {i: q for i, q in table_rows("labels", "doc_id", "quality")}
-    assert len(got) == len(table_rows("documents", "doc_id")) and got.score.between(0, 1).all()
-    assert (got.predicted == (got.score >= 0.3)).all()
-    held = [(label[r.doc_id], r.predicted) for r in got.itertuples() if r.held_out and r.doc_id in label]
-    assert all(brute.fold(r.doc_id) == 0 for r in got.itertuples() if r.held_out)
-    assert sum(a == b for a, b in held) >= 0.8 * len(held)
