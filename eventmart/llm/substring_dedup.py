@@ -4,8 +4,9 @@ Every document is cut into non-overlapping reference blocks of BLOCK words, and
 place, is a probe. A window of WINDOW = 2 * BLOCK - 1 words that two documents share covers a whole block of
 one of them, whatever the alignment, so it shows as a probe of the later document that hits a block
 of the earlier one. Blocks and probes meet by hash, as short fingerprints: a false hit costs a look, no result.
-Around each hit the exact windows are then compared over all documents by a 64-bit hash, and neighbouring
-windows that agree join into maximal repeats, whose words go where an earlier document has the window too.
+Around each hit the exact windows are then compared over all documents by a 64-bit hash and 32 bits of another one, so
+that 10**12 windows hold a false pair with a chance of one in 100,000; neighbouring windows that agree join into maximal
+repeats, whose words go where an earlier document has the window too.
 
 Buckets of texts send each part of the hash space one blob. Within a bucket a hash that many documents share
 is sent once, with the smallest and largest id; the other documents of the bucket know from it that they hit.
@@ -25,11 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from eventmart.llm.blobs import bucket_count, bucketed, by_part, pack, part_of, unpack
+from eventmart.llm.blobs import BUCKET_BYTES, bucket_count, bucketed, by_part, pack, part_of, unpack
 from eventmart.llm.words import MULTIPLIER, U, Hasher, buffers, mixed, slices
 
 WINDOW = 13
 BLOCK = (WINDOW + 1) // 2
+CHECK, CHECK_MULTIPLIER = U(0x2545F4914F6CDD1D), U(0xD6E8FEB86659FD93)
 NO_ID = np.iinfo(np.int64).max
 NOBODY = np.iinfo(np.int64).min
 
@@ -65,13 +67,26 @@ class _Bucket:
         places = np.flatnonzero(inside)
         return mixed(h[places]), places
 
+    def check(self, places, size):
+        """32 bits of another hash of the runs of `size` words that start at places."""
+        h = np.zeros(len(places), U)
+        for i in range(size):
+            h = mixed(h ^ CHECK) * CHECK_MULTIPLIER + self.hash[places + i]
+        return (mixed(h) >> U(32)).astype(np.uint32)
+
+
+def _bounds(*keys):
+    """Bounds of equal entries of sorted keys."""
+    n = len(keys[0])
+    new = np.ones(n, bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys]) if n else False
+    return np.append(np.flatnonzero(new), n)
+
 
 def _grouped(hashes, ids):
     """Order by hash and id, and the bounds of equal hashes in it."""
     order = np.lexsort((ids, hashes))
-    sorted_ = hashes[order]
-    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(sorted_) else np.zeros(0, np.int64)
-    return order, np.append(starts, len(sorted_))
+    return order, _bounds(hashes[order])
 
 
 def _local(bucket, size, anchored):
@@ -159,9 +174,10 @@ def _window_groups(bucket, flags):
     hashes, places = bucket.runs(WINDOW)
     looked_at = flags[places]
     hashes, places = hashes[looked_at], places[looked_at]
-    ids = bucket.ids[bucket.doc[places]]
-    order, bounds = _grouped(hashes, ids)
-    return hashes[order], places[order], ids[order], bounds
+    ids, check = bucket.ids[bucket.doc[places]], bucket.check(places, WINDOW)
+    order = np.lexsort((ids, check, hashes))
+    hashes, check = hashes[order], check[order]
+    return hashes, check, places[order], ids[order], _bounds(hashes, check)
 
 
 def _window_messages(bucket_number, bucket, hits, parts):
@@ -169,13 +185,13 @@ def _window_messages(bucket_number, bucket, hits, parts):
     others: which windows these are."""
     flags = _window_places(bucket, hits)
     yield parts + bucket_number, np.packbits(flags).tobytes()
-    hashes, _, ids, bounds = _window_groups(bucket, flags)
+    hashes, check, _, ids, bounds = _window_groups(bucket, flags)
     starts = bounds[:-1]
     if len(starts):
         number = np.array([bucket_number])
-        for p, (h, low) in by_part(part_of(hashes[starts], parts), parts, hashes[starts], ids[starts]):
+        for p, (h, c, low) in by_part(part_of(hashes[starts], parts), parts, hashes[starts], check[starts], ids[starts]):
             distinct, place = np.unique(low, return_inverse=True)
-            yield p, pack(number, h, distinct, place.astype(np.uint32 if len(distinct) > 1 << 16 else np.uint16))
+            yield p, pack(number, h, c, distinct, place.astype(np.uint32 if len(distinct) > 1 << 16 else np.uint16))
 
 
 def _smallest(parts_table, parts):
@@ -187,12 +203,12 @@ def _smallest(parts_table, parts):
         yield part - parts, parts_table.column("blob")[0].as_py(), 0
         return
     blobs = [unpack(b) for b in parts_table.column("blob").to_pylist()]
-    hashes = np.concatenate([b[1] for b in blobs])
-    low = np.concatenate([b[2][b[3]] for b in blobs])
-    known, place = np.unique(hashes, return_inverse=True)
-    least = np.full(len(known), NO_ID)
-    np.minimum.at(least, place, low)
-    elsewhere, at = least[place] < low, 0
+    hashes, check = (np.concatenate([b[i] for b in blobs]) for i in (1, 2))
+    low = np.concatenate([b[3][b[4]] for b in blobs])
+    order = np.lexsort((low, check, hashes))
+    starts = _bounds(hashes[order], check[order])
+    elsewhere, at = np.zeros(len(low), bool), 0
+    elsewhere[order] = np.repeat(low[order][starts[:-1]], np.diff(starts)) < low[order]  # the smallest id comes first
     for number, h, *_ in blobs:
         yield int(number[0]), pack(np.array([part]), np.packbits(elsewhere[at:at + len(h)])), 1
         at += len(h)
@@ -201,7 +217,7 @@ def _smallest(parts_table, parts):
 def _kept(bucket, mine, replies, parts):
     """Per word of the bucket: does it stay?"""
     flags = np.unpackbits(np.frombuffer(mine, np.uint8), count=len(bucket.hash)).astype(bool)
-    hashes, places, ids, bounds = _window_groups(bucket, flags)
+    hashes, _, places, ids, bounds = _window_groups(bucket, flags)
     starts, counts = bounds[:-1], np.diff(bounds)
     elsewhere = np.zeros(len(starts), bool)
     if len(starts):
@@ -226,9 +242,9 @@ def _blobs(table, kind=None):
     return [b for b, k in zip(table.column("blob").to_pylist(), kinds) if k == kind]
 
 
-def without_repeats(docs, id_col="doc_id", text_col="text", with_text=False):
+def without_repeats(docs, id_col="doc_id", text_col="text", with_text=False, bucket_bytes=BUCKET_BYTES):
     """Per row: doc_id, n_words, n_removed, kept_sha256, and the kept words as `kept_text` where asked for."""
-    buckets = bucket_count(docs, text_col)
+    buckets = bucket_count(docs, text_col, bucket_bytes)
     parts = buckets
     texts = bucketed(docs, buckets, id_col, text_col)
 

@@ -182,7 +182,7 @@ def test_substring_dedup_without_ids(spark):
 
 def test_substring_alignments_and_buckets(spark, monkeypatch):
     """Passages of 12, 13 and more words at every alignment, over many buckets."""
-    monkeypatch.setattr(substring_dedup, "bucket_count", lambda docs, text_col: 5)
+    monkeypatch.setattr(substring_dedup, "bucket_count", lambda docs, text_col, size: 5)
     rng, rows = random.Random(3), []
     passage = [f"p{i}" for i in range(40)]
     for i in range(80):
@@ -193,6 +193,22 @@ def test_substring_alignments_and_buckets(spark, monkeypatch):
     assert got == brute.without_repeats(rows)
 
 
+def test_windows_of_equal_hash_are_told_apart(spark, monkeypatch):
+    """The first hash of windows takes 16 values only; the second one still keeps different windows apart."""
+    plain = substring_dedup._Bucket.runs
+
+    def runs(self, size):
+        hashes, places = plain(self, size)
+        return (hashes & hashes.dtype.type(15) if size == 13 else hashes), places
+
+    monkeypatch.setattr(substring_dedup._Bucket, "runs", runs)
+    rng = random.Random(4)
+    shared = [f"s{i}" for i in range(20)]
+    rows = [(i, " ".join([f"d{i}w{j}" for j in range(rng.randrange(30))] + (shared if i % 4 == 0 else []) + [f"d{i}v{j}" for j in range(20)])) for i in range(60)]
+    got = by_id(substring_dedup.without_repeats(documents(spark, rows, clashing=False)), "n_words", "n_removed", "kept_sha256")
+    assert got == brute.without_repeats(rows)
+
+
 def test_language_scores(spark, docs, monkeypatch):
     monkeypatch.setattr(lm, "bucket_count", lambda docs, text_col, size: 3)
     got = by_id(lm.language_scores(docs), "n_tokens", "n_known", "train_tokens", "base_score", "score")
