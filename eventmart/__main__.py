@@ -57,6 +57,18 @@ def stream_docs(spark, args):
         records(spark, args), args.checkpoint, send=send, table_path=args.path, seconds=args.seconds), args)
 
 
+def stream_quarantined(spark, args):
+    run_stream(jobs.run_quarantined(records(spark, args), args.events, args.rejects, args.checkpoint, args.seconds), args)
+
+
+def stream_seeded(spark, args):
+    """Running marts that start from a stored one; each batch stores every key."""
+    seed = open_marts(spark, args.seed) if args.seed else None
+    query = jobs.run_seeded_marts(
+        records(spark, args), args.marts, args.checkpoint, seed, seconds=args.seconds, state_partitions=args.state_partitions)
+    jobs.finish_idle(query) if args.seconds is None else run_stream(query, args)
+
+
 def compact(spark, args):
     """Fold a keyed table beside its stream, or publish what a compacting table still holds back."""
     table = stored_table(spark, args.path)
@@ -158,6 +170,8 @@ JOBS = {
     "stream-wide": (stream_wide, [*STREAM, "--events!", "--marts!", "--salts:int!"]),
     "stream-files": (stream_files, [*STREAM, "--path!", "--min-file-size:int!", "--table"]),
     "stream-docs": (stream_docs, [*STREAM, "--path", "--send"]),
+    "stream-quarantined": (stream_quarantined, [*STREAM, "--events!", "--rejects!"]),
+    "stream-seeded": (stream_seeded, [*STREAM, "--marts!", "--seed"]),
     "compact": (compact, ["--path!"]),
     "create-table": (create_table, ["--table!", "--files", "--events", "--marts", "--buckets:int=3", "--path"]),
     "drop-table": (drop_table, ["--table!"]),

@@ -10,6 +10,7 @@ from eventmart.schemas import EVENT_WIDE_SCHEMA
 from eventmart.storage.layouts import drop_tables
 from eventmart.storage.salted import read_salted
 from eventmart.streaming import jobs
+from eventmart.streaming.quarantine import reject_table
 
 
 @pytest.fixture(scope="module")
@@ -66,6 +67,18 @@ def test_stream(spark, tmp_path):
     assert jobs.document_table(spark, f"{tmp_path}/d").latest().count() == 3
 
 
+def test_quarantine_and_seed(spark, tmp_path):
+    lines = [("k", ",".join(map(str, event(event_id=str(i), kind="login")))) for i in range(3)]
+    spark.createDataFrame(lines + [("k", "bad")], "key string, value string").write.parquet(f"{tmp_path}/topic")
+    main(["stream-quarantined", "--input", f"{tmp_path}/topic", "--events", f"{tmp_path}/e", "--rejects", f"{tmp_path}/r", "--checkpoint", f"{tmp_path}/c"])
+    assert jobs.event_table(spark, f"{tmp_path}/e").latest().count() == 3
+    assert [r.value for r in reject_table(spark, f"{tmp_path}/r").latest().collect()] == ["bad"]
+    account_mart(jobs.event_table(spark, f"{tmp_path}/e").latest()).write.parquet(f"{tmp_path}/seed")
+    spark.createDataFrame(lines[:1], "key string, value string").write.parquet(f"{tmp_path}/more")
+    main(["stream-seeded", "--input", f"{tmp_path}/more", "--marts", f"{tmp_path}/m", "--seed", f"{tmp_path}/seed", "--checkpoint", f"{tmp_path}/c"])
+    assert jobs.mart_table(spark, f"{tmp_path}/m").latest().first().sign_on_count == 4
+
+
 def test_jobs_over_streamed_tables(spark, tmp_path, capsys):
     """Two deliveries; every job sees one version of a mart or event."""
     at = str(tmp_path)
