@@ -25,7 +25,7 @@ from eventmart.sources.tables import text_lines
 from eventmart.storage.compaction import CompactingTable
 from eventmart.storage.files import Files
 from eventmart.storage.index_sink import FolderIndex, committed, write_index
-from eventmart.storage.layouts import copy_table, write_keyed
+from eventmart.storage.layouts import copy_table, drop_tables, write_keyed
 from eventmart.storage.presplit import key_range, read_presplit, salt_splits, write_presplit
 from eventmart.storage.salted import read_salted, write_salted
 from eventmart.storage.upsert import KeyedTable
@@ -96,6 +96,15 @@ def mart_table_copy(spark, sf_dir):
     return copy_table(spark, f"{name}_source", name, work_dir(spark, "mart-copy"))
 
 
+@query("dropped_mart_table", oracle.with_marts("SELECT count(*) AS rows_before, false AS exists_after FROM mart"))
+def dropped_mart_table(spark, sf_dir):
+    """A copy of the marts, counted and dropped from the catalog."""
+    name = f"account_mart_{uuid.uuid4().hex}"
+    rows = write_keyed(rounded_marts(spark, sf_dir), name, buckets=2, path=work_dir(spark, "mart-dropped")).count()
+    drop_tables(spark, name, name)  # a table that is gone is no error
+    return spark.createDataFrame([(rows, spark.catalog.tableExists(name))], "rows_before long, exists_after boolean")
+
+
 @query("keyed_table_wins", oracle.with_marts(WINS))
 def keyed_table_wins(spark, sf_dir):
     """Marts hashed into buckets by account, then summed per account."""

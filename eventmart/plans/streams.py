@@ -34,6 +34,18 @@ def stream_account_mart(spark, sf_dir):
     return cents(jobs.mart_table(spark, f"{work}/marts").latest())
 
 
+@query("stream_timed_marts", oracle.with_marts("SELECT * FROM mart"))
+def stream_timed_marts(spark, sf_dir):
+    """The same job on its interval: a micro-batch a second until the records are worked off."""
+    work = work_dir(spark, "stream-timed")
+    running = jobs.run_marts(_records(spark, sf_dir, work), f"{work}/marts", f"{work}/checkpoint", seconds=1)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return cents(jobs.mart_table(spark, f"{work}/marts").latest())
+
+
 CORRECTED = """SELECT * REPLACE (CASE WHEN event_type = 'buy' THEN purchase + 1 ELSE purchase END AS purchase)
     FROM app_event"""
 
