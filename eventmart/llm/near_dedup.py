@@ -45,7 +45,8 @@ CHANCE = 2.0 ** -BITS
 ESTIMATE_FROM = 0.45
 SHARE = 500        # partners of a class confirmed by one task at a time
 SIGNATURE_BLOCK = 2048  # members of a bucket compared by signature at a time
-SET_BLOCK = 512         # members of a family compared in full at a time
+SET_BLOCK = 512         # members of a family compared in full at a time,
+SHINGLE_BLOCK = 1 << 20  # of about so many shingles together, or a single longer text
 SIGNATURE = [f"s{i}" for i in range(WORDS)]
 SET = ["set_a", "set_b", "n_shingles"]
 
@@ -178,14 +179,22 @@ class _Labels:
         return [(self.names[mine], self.names[x]) for x in found]
 
 
-def _blocks(rows, group, size, block):
-    """Every pair of blocks of each group's members: columns `block` (number of the pair) and `side`.
+def _family_blocks(members):
+    """family, blocks: how many blocks hold the texts of each family, by their number and by their shingles.
+
+    Members are dealt to blocks by hash, so a block's shingles keep near the mean whatever the lengths of the texts.
+    """
+    return members.groupBy("family").agg(F.greatest(
+        F.ceil(F.count("*") / SET_BLOCK), F.ceil(F.sum("n_shingles") / SHINGLE_BLOCK)).cast("int").alias("blocks"))
+
+
+def _blocks(rows, group):
+    """Every pair of the `blocks` blocks of each group's members: columns `block` (number of the pair) and `side`.
 
     A member of block k takes part in the pairs (i, k) and (k, j); one block is a pair with itself.
     """
-    count = F.ceil(F.col(size) / block).cast("int")
     mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    paired = rows.withColumn("blocks", count).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
     paired = paired.withColumn("block", low * F.col("blocks") + high).withColumn("side", (F.col("mine") != low).cast("int"))
     return paired.repartition(group, "block").sortWithinPartitions(group, "block", "doc_id")
@@ -232,7 +241,8 @@ def _families(open_):
                     found += labels.join(i, apart[near])
             yield _pairs_out(found)
 
-    rows = _blocks(open_, "key", "members", SIGNATURE_BLOCK).select("key", "block", "component", "side", *SIGNATURE)
+    counted = open_.withColumn("blocks", F.ceil(F.col("members") / SIGNATURE_BLOCK).cast("int"))
+    rows = _blocks(counted, "key").select("key", "block", "component", "side", *SIGNATURE)
     return rows.mapInArrow(compare, "u long, v long").distinct()
 
 
@@ -264,7 +274,7 @@ def _links(docs, members, id_col, text_col):
             yield _pairs_out(pairs)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = _blocks(members.hint("merge").join(texts, "doc_id"), "family", "members", SET_BLOCK).select("family", "block", "component", "side", "text")
+    rows = _blocks(members.hint("merge").join(texts, "doc_id"), "family").select("family", "block", "component", "side", "text")
     return rows.mapInArrow(compare, "u long, v long").distinct()
 
 
@@ -297,9 +307,8 @@ def near_duplicates(docs, id_col="doc_id", text_col="text"):
     families = star_components(_families(open_)).withColumnRenamed("u", "component").withColumnRenamed("root", "family")
     # a family's smallest component is known by its own number
     heads = families.select("family").distinct().select(F.col("family").alias("component"), "family")
-    apart = open_.select("doc_id", "component").distinct().join(families.unionByName(heads), "component")
-    sizes = apart.groupBy("family").agg(F.count("*").alias("members"))
-    members = stored(apart.join(sizes, "family"), "families")
+    apart = open_.select("doc_id", "component", "n_shingles").distinct().join(families.unionByName(heads), "component")
+    members = stored(apart.join(_family_blocks(apart), "family").drop("n_shingles"), "families")
     if not members.isEmpty():
         links = _links(docs, members, id_col, text_col)
         edges = stored(labels.select("u", F.col("root").alias("v")).unionByName(links), "all-edges")

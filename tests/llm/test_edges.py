@@ -134,11 +134,12 @@ def test_near_duplicates_without_ids_and_repeated(spark):
         (0, 0, True), (0, 0, True), (1, 1, True), (1, 1, True), (4, 1, False)]
 
 
-@pytest.mark.parametrize("signature_block, set_block", [(2048, 512), (7, 5)])
-def test_near_groups_with_chains(spark, monkeypatch, signature_block, set_block):
+@pytest.mark.parametrize("signature_block, set_block, shingle_block", [(2048, 512, 1 << 20), (7, 5, 1 << 20), (2048, 512, 300)])
+def test_near_groups_with_chains(spark, monkeypatch, signature_block, set_block, shingle_block):
     """Chains of edits, groups of copies, and texts at and next to the threshold, in one block or in many."""
     monkeypatch.setattr(near_dedup, "SIGNATURE_BLOCK", signature_block)
     monkeypatch.setattr(near_dedup, "SET_BLOCK", set_block)
+    monkeypatch.setattr(near_dedup, "SHINGLE_BLOCK", shingle_block)
     rng, rows = random.Random(2), []
     for group in range(12):
         text = [f"g{group}w{i}" for i in range(80)]
@@ -152,6 +153,12 @@ def test_near_groups_with_chains(spark, monkeypatch, signature_block, set_block)
     assert got == brute.near(rows)
 
 
+def test_long_texts_of_a_family_lie_in_more_blocks(spark):
+    rows = [(i, 1, 100) for i in range(600)] + [(i, 2, 3 << 20) for i in range(600, 604)] + [(604, 3, 1)]
+    members = spark.createDataFrame(rows, "doc_id long, family long, n_shingles long")
+    assert {r.family: r.blocks for r in near_dedup._family_blocks(members).collect()} == {1: 2, 2: 12, 3: 1}
+
+
 def test_estimate_is_corrected_for_chance(spark):
     import numpy as np
     rng = np.random.default_rng(1)
