@@ -57,6 +57,13 @@ def bucket_count(docs, text_col="text", size=BUCKET_BYTES):
     return int(total // size) + 1
 
 
+def word_bucket_count(docs, words, text_col="text"):
+    """How many buckets of at most about `words` words the texts make; words are counted as runs between white
+    space, which counts each text's words or one more."""
+    total = docs.agg(F.sum(F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), r"[ \t-\r]+")))).first()[0] or 0
+    return int(total // words) + 1
+
+
 def bucketed(docs, buckets, id_col="doc_id", text_col="text", *more):
     """bucket, doc_id, text and the columns `more`."""
     return docs.select(

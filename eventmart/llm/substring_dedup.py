@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from eventmart.llm.blobs import BUCKET_BYTES, bucket_count, bucketed, by_part, pack, part_of, unpack
+from eventmart.llm.blobs import BUCKET_BYTES, bucket_count, bucketed, by_part, pack, part_of, unpack, word_bucket_count
 from eventmart.llm.words import MULTIPLIER, U, Hasher, buffers, mixed, slices
 
 WINDOW = 13
@@ -34,6 +34,7 @@ BLOCK = (WINDOW + 1) // 2
 CHECK, CHECK_MULTIPLIER = U(0x2545F4914F6CDD1D), U(0xD6E8FEB86659FD93)
 NO_ID = np.iinfo(np.int64).max
 NOBODY = np.iinfo(np.int64).min
+BUCKET_WORDS = 1 << 21  # a bucket's arrays hold several numbers per word, so short words must not make it large
 
 
 class _Bucket:
@@ -244,7 +245,7 @@ def _blobs(table, kind=None):
 
 def without_repeats(docs, id_col="doc_id", text_col="text", with_text=False, bucket_bytes=BUCKET_BYTES):
     """Per row: doc_id, n_words, n_removed, kept_sha256, and the kept words as `kept_text` where asked for."""
-    buckets = bucket_count(docs, text_col, bucket_bytes)
+    buckets = max(bucket_count(docs, text_col, bucket_bytes), word_bucket_count(docs, BUCKET_WORDS, text_col))
     parts = buckets
     texts = bucketed(docs, buckets, id_col, text_col)
 
