@@ -30,7 +30,7 @@ class RunningMart(StatefulProcessor):
 
     def handleInitialState(self, key, initialState, timerValues):
         self._totals.update(tuple(initialState[m] for m in MART_MEASURES))
-        self._visit_again(timerValues)
+        self._visit_next(timerValues)  # a new key: only this batch's timer can be there, and it is the same
 
     def handleInputRows(self, key, rows, timerValues):
         totals = list(self._totals.get()) if self._totals.exists() else [0] * len(MART_MEASURES)
@@ -41,13 +41,19 @@ class RunningMart(StatefulProcessor):
         yield _mart(key, totals)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self._visit_again(timerValues)
+        self._visit_next(timerValues)  # the key's one timer is the expired one, which Spark deletes after this
         yield _mart(key, self._totals.get())
 
     def _visit_again(self, timerValues):
+        """Replace a timer of an earlier batch, due now, so that a key with input is sent once a batch."""
         if self.every_key:
             for due in self._handle.listTimers():
                 self._handle.deleteTimer(due)
+        self._visit_next(timerValues)
+
+    def _visit_next(self, timerValues):
+        """One state call: a key without input costs its batch this, its totals and Spark's own calls."""
+        if self.every_key:
             self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + 1)
 
     def close(self):
